@@ -351,5 +351,5 @@ def stopword_anti_join(spark, sf_dir):
     ORDER BY n DESC, word LIMIT 10
 """)
 def top_words(spark, sf_dir):
-    stop_words = spark.createDataFrame([(word,) for word in STOP_WORDS], "word string")
+    stop_words = word_report.stop_word_list(spark, STOP_WORDS)
     return word_report.top_words(table(spark, sf_dir, "documents"), stop_words, "text")

@@ -41,7 +41,7 @@ def collect_pages(
         F.col("_bucket").alias("_start_bucket"),
         (F.sum("_size").over(Window.partitionBy(*keys).orderBy("_bucket")) - F.col("_size")).alias("_start"),
     )
-    same_bucket = F.col("_bucket") == F.col("_start_bucket")
+    same_bucket = F.col("_bucket").eqNullSafe(F.col("_start_bucket"))
     for key in keys:
         same_bucket = same_bucket & F.col(key).eqNullSafe(F.col(f"_{key}"))
 
@@ -54,7 +54,10 @@ def collect_pages(
     )
 
     size = F.lit(page_size)
-    page_of = lambda position: F.floor(position / size)
+
+    def page_of(position: Column) -> Column:
+        return F.floor(position / size)
+
     pieces = placed.withColumn(
         "page", F.explode(F.sequence(page_of(F.col("_from")), page_of(F.col("_to") - 1)))
     ).select(

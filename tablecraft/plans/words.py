@@ -2,11 +2,19 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Sequence
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tablecraft import fixed_values as fixed
 from tablecraft.operators import exclude, top_rows, word_counts
+from tablecraft.sources import inline_lookup
+
+
+def stop_word_list(spark: SparkSession, words: Sequence[str]) -> DataFrame:
+    """Stop words listed by the caller; longer lists come from a file, one word per line."""
+    return inline_lookup(spark, [(word,) for word in words], "word string")
 
 
 def interesting_words(texts: DataFrame, stop_words: DataFrame, text: str = "value") -> DataFrame:
