@@ -1,0 +1 @@
+"""Features, models, recommendations and the reports built from them."""
