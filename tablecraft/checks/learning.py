@@ -176,14 +176,16 @@ def linreg_predictions(spark, sf_dir):
     return predictions.select("p_partkey", "label", F.round("prediction", 4).alias("prediction"))
 
 
-def least_squares_sql(source: str, label: str, terms: dict[str, str]) -> str:
+def least_squares_sql(source: str, label: str, terms: dict[str, str], shown: dict[str, str]) -> str:
     """Coefficients of ``label`` on the named SQL terms, by successive residuals.
 
+    ``shown`` holds the SQL of the name to show where it differs from the term's own.
+
     Step k leaves in every later term, and in the label, what term k does not explain;
     the slopes taken on the way give the coefficients back from the last to the first.
     """
     names = list(terms)
-    later = [*names[0:], "y"]
+    later = [*names, "y"]
     steps = [
         "base AS (SELECT " + ", ".join(f"({sql})::DOUBLE AS {name}" for name, sql in terms.items())
         + f", {label} AS y FROM {source})",
@@ -201,16 +203,31 @@ def least_squares_sql(source: str, label: str, terms: dict[str, str]) -> str:
         steps.append(f"b{k} AS (SELECT y{used} AS b FROM slope{k})")
     used = "".join(f" - (SELECT b FROM b{k}) * {name}" for k, name in enumerate(names, 1))
     rows = [f"SELECT 'intercept' AS term, round(y{used}, 5) AS coefficient FROM means"]
-    rows += [f"SELECT '{name}', round(b, 5) FROM b{k}" for k, name in enumerate(names, 1)]
+    for k, name in enumerate(names, 1):
+        label_sql = shown.get(name, f"'{name}'")
+        rows.append(f"SELECT {label_sql}, round(b, 5) FROM b{k}")
     return ", " + ", ".join(steps) + " " + " UNION ALL ".join(rows)
 
 
-@query(DOCUMENTS_SQL + least_squares_sql("measured", "n_chars", {
-    "n_words": "n_words", "n_lines": "n_lines", "letter_share": "letter_share",
-    "lang_vector_en": "lang = 'en'",
-    "lang_vector_fr": "lang = 'fr'",
-    "lang_vector_de": "lang = 'de'",
-}))
+LANGUAGES_SQL = """,
+    languages AS (
+        SELECT lang, row_number() OVER (ORDER BY count(*) DESC, lang) - 1 AS place
+        FROM documents GROUP BY lang)
+"""
+
+
+def _language(place: int) -> str:
+    return f"(SELECT lang FROM languages WHERE place = {place})"
+
+
+@query(DOCUMENTS_SQL + LANGUAGES_SQL + least_squares_sql(
+    "measured", "n_chars",
+    {
+        "n_words": "n_words", "n_lines": "n_lines", "letter_share": "letter_share",
+        **{f"lang_{place}": f"lang = {_language(place)}" for place in range(3)},
+    },
+    {f"lang_{place}": f"'lang_vector_' || {_language(place)}" for place in range(3)},
+))
 def gym_style_regression(spark, sf_dir):
     """Three numbers and a one-hot category; the rarest language is the one left out."""
     fitted = jobs.repetitions_regression(
@@ -277,29 +294,41 @@ def churn_grid_r2(spark, sf_dir):
     return churn(spark, sf_dir, metric="r2").grid
 
 
-def document_trials(spark: SparkSession, sf_dir: str) -> jobs.TrialModels:
+def document_trials(spark: SparkSession, sf_dir: str) -> jobs.TrialParts:
     """Labelled documents as trials: quality is a payment, the language is the country."""
     rows = document_rows(spark, sf_dir).join(table(spark, sf_dir, "labels"), "doc_id").select(
         "doc_id", F.upper("lang").alias("country"), F.col("quality").alias("payments_made"),
         F.col("n_lines").alias("rebill_period"), F.col("letter_share").alias("chapter_access_count"),
         F.col("word_variety").alias("seconds_watched"),
     )
-    return jobs.trial_models(jobs.trial_rows(rows), keys=["doc_id"])
+    return jobs.trial_parts(jobs.trial_rows(rows), keys=["doc_id"])
 
 
 @query()
 def tree_accuracy(spark, sf_dir):
-    return document_trials(spark, sf_dir).tree.metrics
+    parts = document_trials(spark, sf_dir)
+    return models.decision_tree(parts.training, parts.holdout).metrics
 
 
 @query()
 def tree_rules(spark, sf_dir):
-    return models.rule_lines(document_trials(spark, sf_dir).tree)
+    parts = document_trials(spark, sf_dir)
+    return models.rule_lines(models.decision_tree(parts.training, parts.holdout))
 
 
 @query()
 def forest_accuracy(spark, sf_dir):
-    return document_trials(spark, sf_dir).forest.metrics
+    parts = document_trials(spark, sf_dir)
+    return models.random_forest(parts.training, parts.holdout).metrics
+
+
+@query()
+def trial_accuracies(spark, sf_dir):
+    """Tree and forest side by side."""
+    tree, forest = jobs.trial_models(document_trials(spark, sf_dir))
+    return tree.metrics.withColumn("model", F.lit("tree")).unionByName(
+        forest.metrics.withColumn("model", F.lit("forest"))
+    )
 
 
 @query("""

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.ml import Transformer
 from pyspark.ml.feature import (
     IndexToString, OneHotEncoder, StringIndexer, StringIndexerModel, VectorAssembler,
 )
@@ -44,6 +43,8 @@ def string_indexer(columns: Sequence[str], on_unseen: str = "error") -> StringIn
 
 def check_label_counts(df: DataFrame, columns: Sequence[str], limit: int = MAX_LABELS) -> None:
     """Refuse to index a column with too many labels: the driver holds all of them."""
+    if not columns:
+        return
     counts = df.agg(*[F.approx_count_distinct(c).alias(c) for c in columns]).first()
     too_many = {c: counts[c] for c in columns if counts[c] > limit}
     if too_many:
@@ -128,9 +129,3 @@ def random_split(df: DataFrame, share: float, seed: int) -> tuple[DataFrame, Dat
     """Seeded random split, repeatable while the rows and their partitions stay the same."""
     first, second = df.randomSplit([share, 1 - share], seed=seed)
     return first, second
-
-
-def transform_all(df: DataFrame, stages: Sequence[Transformer]) -> DataFrame:
-    for stage in stages:
-        df = stage.transform(df)
-    return df

@@ -125,33 +125,41 @@ def trial_rows(df: DataFrame, country: str = "country", payments: str = "payment
 
 
 @dataclass
-class TrialModels:
-    tree: models.Fitted
-    forest: models.Fitted
+class TrialParts:
+    """Training and hold-out rows (``label``, ``features``), and the country of each index."""
+
+    training: DataFrame
+    holdout: DataFrame
     countries: DataFrame
 
 
-def trial_models(
+def trial_parts(
     rows: DataFrame,
     country: str = "country",
     columns: Sequence[str] = TRIAL_COLUMNS,
     keys: Sequence[str] | None = None,
     share: float = fixed.TRIAL_TRAIN_SHARE,
-    depth: int = fixed.TREE_DEPTH,
     seed: int = 0,
-) -> TrialModels:
-    """A tree and a forest on the same split; the country index stays a category."""
+) -> TrialParts:
+    """Assemble and split the trials; the country index stays a category for the trees."""
     _, indexed = index_labels(rows, [country])
     features = assembler([index_name(country), *columns]).transform(indexed)
     training, holdout = stable_split(features, share, keys or rows.columns, seed)
-    training, holdout = (part.select("label", "features") for part in (training, holdout))
-    return TrialModels(
-        tree=models.decision_tree(training, holdout, depth, seed),
-        forest=models.random_forest(training, holdout, depth, seed=seed),
-        countries=labels_in_use(indexed, country),
+    return TrialParts(
+        training.select("label", "features"), holdout.select("label", "features"), labels_in_use(indexed, country)
     )
 
 
+def trial_models(
+    parts: TrialParts, depth: int = fixed.TREE_DEPTH, seed: int = 0
+) -> tuple[models.Fitted, models.Fitted]:
+    """A tree and a forest on the same parts."""
+    with models.kept(parts.training, parts.holdout) as (training, holdout):
+        tree = models.decision_tree(training, holdout, depth, seed)
+        forest = models.random_forest(training, holdout, depth, seed=seed)
+    return tree, forest
+
+
 # ---- recommendations ------------------------------------------------------------------
 
 

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tablecraft import fixed_values as fixed
-from tablecraft.ml.features import feature_stages, feature_terms, fill_or_keep
+from tablecraft.ml.features import check_label_counts, feature_stages, feature_terms, fill_or_keep
 
 METRICS = "metric string, value double"
 
@@ -80,6 +80,7 @@ def linear_regression(
 ) -> Fitted:
     """Plain least squares on all rows, with predictions for the same rows."""
     rows, nulls = fill_or_keep(df, columns, nulls)
+    check_label_counts(rows, categories)
     features = Pipeline(stages=feature_stages(categories, columns, on_unseen, nulls)).fit(rows)
     prepared = features.transform(rows).withColumnRenamed(label, "label")
     model = LinearRegression().fit(prepared)
@@ -133,6 +134,7 @@ def _prepared(
     """Feature stages fitted on the training rows and applied to both parts."""
     rows, policy = fill_or_keep(training, columns, nulls)
     held, _ = fill_or_keep(holdout, columns, nulls)
+    check_label_counts(rows, categories)
     stages = Pipeline(stages=feature_stages(categories, columns, on_unseen, policy)).fit(rows)
     ready = stages.transform(rows).withColumnRenamed(label, "label")
     return stages, ready, stages.transform(held).withColumnRenamed(label, "label")
@@ -247,8 +249,7 @@ def tuned_logistic_regression(
 
 
 def _fit_tree(classifier, training: DataFrame, holdout: DataFrame) -> Fitted:
-    with kept(training) as (rows,):
-        model = classifier.fit(rows)
+    model = classifier.fit(training)
     predictions = model.transform(holdout)
     accuracy = MulticlassClassificationEvaluator(metricName="accuracy").evaluate(predictions)
     return Fitted(
