@@ -42,7 +42,7 @@ def words_of(text: Column | str) -> Column:
     Words end at a space or a line end. Other characters, tabs included, vanish from
     the word that holds them, so a blank entry can remain where nothing is left.
     """
-    letters = F.regexp_replace(F.lower(_column(text)), r"[^a-zA-Z \r\n]", "")
+    letters = F.regexp_replace(F.lower(_column(text)), r"[^a-z \r\n]+", "")
     return F.split(letters, r"[ \r\n]+")
 
 

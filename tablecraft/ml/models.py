@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
 from dataclasses import dataclass, field
@@ -256,7 +257,7 @@ def _fit_tree(classifier, training: DataFrame, holdout: DataFrame) -> Fitted:
         model=model,
         predictions=predictions,
         metrics=metric_frame(training.sparkSession, {"holdout_accuracy": accuracy}),
-        rules=model.toDebugString,
+        rules=re.sub(r"uid=\w+, ", "", model.toDebugString),
     )
 
 

@@ -3,35 +3,69 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType
 
 
+# aggregation buffer fields of a pair and of a column with itself
+PAIR_FIELDS = 10
+SELF_FIELDS = 3
+
+
 def numeric_candidates(df: DataFrame, drop: Sequence[str] = ()) -> list[str]:
     """Numeric columns that remain after dropping ``drop``; unknown names are ignored."""
     kept = df.drop(*drop)
     return [field.name for field in kept.schema.fields if isinstance(field.dataType, NumericType)]
 
 
-def correlation_matrix(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
-    """Rows ``(column_a, column_b, correlation)`` for all ordered pairs, itself included.
+def pearson(a: str, b: str) -> Column:
+    """Correlation over the rows that have both values; null if either never varies there.
 
-    All unordered pairs are computed in one pass over the data and then mirrored.
+    The built-in correlation raises on a constant column in ANSI mode. The squared one
+    does not: it is null if ``b`` is constant, and 1 beside a covariance of 0 if ``a`` is.
     """
-    names = list(columns) if columns is not None else numeric_candidates(df)
-    pairs = [(a, b) for i, a in enumerate(names) for b in names[i:]]
-    one_row = df.agg(*[F.corr(a, b).alias(f"_{i}") for i, (a, b) in enumerate(pairs)])
+    if a == b:
+        return F.try_divide(F.var_pop(a), F.var_pop(a))
+    squared, covariance = F.regr_r2(a, b), F.covar_pop(a, b)
+    return F.when((covariance != 0) | (squared != 1), F.signum(covariance) * F.sqrt(squared))
+
 
-    def entry(a: str, b: str, value: str):
-        return F.struct(
-            F.lit(a).alias("column_a"), F.lit(b).alias("column_b"), F.col(value).alias("correlation")
-        )
+def _passes(names: Sequence[str], limit: int) -> list[list[tuple[str, str]]]:
+    """Unordered pairs in runs whose aggregation buffers stay within ``limit`` fields."""
+    passes, used = [[]], 0
+    for i, a in enumerate(names):
+        for b in names[i:]:
+            cost = SELF_FIELDS if a == b else PAIR_FIELDS
+            if passes[-1] and used + cost > limit:
+                passes.append([])
+                used = 0
+            passes[-1].append((a, b))
+            used += cost
+    return passes
 
-    entries = []
+
+def _entries(df: DataFrame, pairs: Sequence[tuple[str, str]]) -> DataFrame:
+    one_row = df.agg(*[pearson(a, b).alias(f"_{i}") for i, (a, b) in enumerate(pairs)])
+    cells = []
     for i, (a, b) in enumerate(pairs):
-        entries.append(entry(a, b, f"_{i}"))
-        if a != b:
-            entries.append(entry(b, a, f"_{i}"))
-    return one_row.select(F.inline(F.array(*entries)))
+        cells += [f"{_text(left)}, {_text(right)}, `_{i}`" for left, right in dict.fromkeys([(a, b), (b, a)])]
+    return one_row.selectExpr(f"stack({len(cells)}, {', '.join(cells)}) AS (column_a, column_b, correlation)")
+
+
+def _text(name: str) -> str:
+    return "'" + name.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def correlation_matrix(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
+    """Rows ``(column_a, column_b, correlation)`` for all ordered pairs, itself included.
+
+    Unordered pairs are aggregated together and mirrored. One pass takes as many of them
+    as Spark compiles: wider aggregates run interpreted, many times slower than reading
+    the columns once more.
+    """
+    names = list(columns) if columns is not None else numeric_candidates(df)
+    limit = int(df.sparkSession.conf.get("spark.sql.codegen.maxFields", "100"))
+    return reduce(DataFrame.unionByName, [_entries(df, pairs) for pairs in _passes(names, limit)])
