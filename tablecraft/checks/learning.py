@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tablecraft.checks.registry import query, table
+from tablecraft.functions import null_to_zero, ratio
 from tablecraft.ml import features as ft
 from tablecraft.ml import jobs, models
 from tablecraft.ml import recommend as rec
@@ -125,7 +126,8 @@ DOCUMENTS_SQL = r"""
         SELECT doc_id, lang, source, n_chars::DOUBLE AS n_chars,
             len(string_split(text, ' '))::DOUBLE AS n_words,
             len(string_split(text, chr(10)))::DOUBLE AS n_lines,
-            length(regexp_replace(text, '[^a-zA-Z]', '', 'g')) / length(text)::DOUBLE AS letter_share
+            coalesce(length(regexp_replace(text, '[^a-zA-Z]', '', 'g')) / nullif(length(text), 0)::DOUBLE, 0)
+                AS letter_share
         FROM documents)
 """
 
@@ -138,7 +140,7 @@ def document_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "lang", "source", F.col("n_chars").cast("double").alias("n_chars"),
         F.size(words).cast("double").alias("n_words"),
         F.size(F.split(text, "\n")).cast("double").alias("n_lines"),
-        (F.length(F.regexp_replace(text, "[^a-zA-Z]", "")) / F.length(text)).alias("letter_share"),
+        null_to_zero(ratio(F.length(F.regexp_replace(text, "[^a-zA-Z]+", "")), F.length(text))).alias("letter_share"),
         (F.size(F.array_distinct(words)) / F.size(words)).alias("word_variety"),
     )
 

@@ -84,13 +84,14 @@ def linear_regression(
     check_label_counts(rows, categories)
     features = Pipeline(stages=feature_stages(categories, columns, on_unseen, nulls)).fit(rows)
     prepared = features.transform(rows).withColumnRenamed(label, "label")
-    model = LinearRegression().fit(prepared)
+    with kept(prepared.select("label", "features")) as (train,):
+        model = LinearRegression().fit(train)
+        figures = {"train_r2": model.summary.r2, "train_rmse": model.summary.rootMeanSquaredError}
     spark = df.sparkSession
-    summary = model.summary
     return Fitted(
         model=model,
         predictions=model.transform(prepared),
-        metrics=metric_frame(spark, {"train_r2": summary.r2, "train_rmse": summary.rootMeanSquaredError}),
+        metrics=metric_frame(spark, figures),
         coefficients=coefficient_frame(spark, feature_terms(prepared), model),
         stages=features,
     )
