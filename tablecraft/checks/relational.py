@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from tablecraft import fixed_values as fixed
 from tablecraft import functions as fn
@@ -11,7 +12,7 @@ from tablecraft import operators as ops
 from tablecraft.checks.registry import query, table
 from tablecraft.plans import exam_report, log_report
 from tablecraft.plans import words as word_report
-from tablecraft.sources import register_view
+from tablecraft.sources import inline_lookup, register_view
 
 # ---- plain projections and aggregates -------------------------------------------------
 
@@ -221,6 +222,22 @@ def order_logs(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query("""
+    SELECT level, label, count(*) AS n
+    FROM orders JOIN (VALUES ('F', 'filled'), ('O', 'open'), ('P', 'part')) AS labels(level, label)
+        ON o_orderstatus = level
+    GROUP BY 1, 2
+""")
+def inline_rows(spark, sf_dir):
+    """In-memory rows with an explicit schema, as names of the levels."""
+    schema = StructType([
+        StructField("level", StringType(), nullable=False), StructField("label", StringType(), nullable=False)
+    ])
+    labels = inline_lookup(spark, [("F", "filled"), ("O", "open"), ("P", "part")], schema)
+    counted = ops.count_per(order_logs(spark, sf_dir), "level")
+    return ops.lookup(counted, labels, "level")
+
+
 @query("SELECT role AS level, count(*) AS n FROM conversations GROUP BY 1")
 def level_counts(spark, sf_dir):
     turns = table(spark, sf_dir, "conversations")

@@ -93,12 +93,15 @@ def run_to_table(
 ) -> DataFrame:
     """Run a stream over what is available now and read back the table it wrote.
 
-    ``schema`` is that of the prepared rows if ``prepare`` changes it.
+    ``schema`` is that of the prepared rows if ``prepare`` changes it. An empty part
+    makes the table readable even if no batch has run.
     """
     spark = frame.sparkSession
     folder = folder or new_folder(spark, "batches")
+    schema = schema or frame.schema
+    spark.createDataFrame([], schema).write.mode("overwrite").parquet(f"{folder}/batch_id=-1")
     query = start_stream(
         frame, batch_table(folder, prepare), mode, checkpoint, available_now=True, per_batch=True
     )
     query.awaitTermination()
-    return read_batches(spark, folder, schema or frame.schema)
+    return read_batches(spark, folder, schema)

@@ -166,6 +166,13 @@ def test_batch_written_twice_counts_once(spark, tmp_path):
     assert rows(live.latest_rows(table, ["k"])) == [(1, "b")]
 
 
+def test_no_batch_at_all_is_an_empty_table(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    windows = live.tumbling_views(stream(spark, tmp_path / "in"))
+    table = live.run_to_table(windows, "append")
+    assert table.count() == 0 and table.columns == ["window", "course_name", "seconds_watched", "batch_id"]
+
+
 def test_ranked_batches(spark, tmp_path):
     put(tmp_path / "in", 0, [(at(0), "a"), (at(0), "b"), (at(0), "b"), (at(0), "c"), (at(200), "z")])
     windows = live.tumbling_views(stream(spark, tmp_path / "in"))
