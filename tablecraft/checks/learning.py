@@ -11,6 +11,7 @@ from tablecraft.functions import null_to_zero, ratio
 from tablecraft.ml import features as ft
 from tablecraft.ml import jobs, models
 from tablecraft.ml import recommend as rec
+from tablecraft.shared import settled
 
 # ---- features -------------------------------------------------------------------------
 
@@ -409,7 +410,7 @@ def recommend_top5(spark, sf_dir):
 
 @query()
 def recommend_new_items(spark, sf_dir):
-    ratings = order_ratings(spark, sf_dir)
+    ratings = settled(order_ratings(spark, sf_dir))
     return rec.new_items(rec.fit_recommender(ratings), ratings)
 
 

@@ -16,6 +16,7 @@ from tablecraft.ml.features import (
 )
 from tablecraft.ml.recommend import beside_history, fit_recommender, new_items, top_items, watch_ratings
 from tablecraft.operators import correlation_matrix, numeric_candidates
+from tablecraft.shared import settled
 
 # ---- repetitions: plain regression and clusters ---------------------------------------
 
@@ -176,9 +177,10 @@ def course_recommendations(
 ) -> DataFrame:
     """Recommended items of every user beside the watched ones.
 
-    ``first_users`` limits the report to that many users with the lowest ids.
+    ``first_users`` limits the report to that many users with the lowest ids. The ratings
+    are written once, for the fit and for the history.
     """
-    ratings = watch_ratings(views, user, item, share)
+    ratings = settled(watch_ratings(views, user, item, share))
     model = fit_recommender(ratings, seed=seed, **fitting)
     if exclude_seen:
         recommended = new_items(model, ratings, n)

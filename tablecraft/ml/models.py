@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 
 from tablecraft import fixed_values as fixed
 from tablecraft.ml.features import check_label_counts, feature_stages, feature_terms, fill_or_keep
+from tablecraft.shared import settled
 
 METRICS = "metric string, value double"
 
@@ -107,7 +108,10 @@ def _tune(
     seed: int,
     parallelism: int,
 ):
-    """Best model of the grid on one split of ``training``, and the figure of each point."""
+    """Best model of the grid on one split of ``training``, and the figure of each point.
+
+    The split draws rows at random, so ``training`` must not change its order.
+    """
     grid = (
         ParamGridBuilder()
         .addGrid(estimator.regParam, list(reg_params))
@@ -158,7 +162,7 @@ def tuned_linear_regression(
 ) -> Fitted:
     """Least squares with the penalty that does best by r2; predictions for the hold-out."""
     stages, ready, held = _prepared(training, holdout, label, columns, categories, on_unseen, nulls)
-    with kept(ready.select("label", "features"), held.select("label", "features")) as (train, test):
+    with kept(settled(ready.select("label", "features")), held.select("label", "features")) as (train, test):
         model, grid = _tune(
             train, LinearRegression(), RegressionEvaluator(metricName="r2"),
             reg_params, elastic_nets, train_share, seed, parallelism,
@@ -220,7 +224,7 @@ def tuned_logistic_regression(
         raise ValueError(f"metric must be 'auc' or 'r2', not {metric!r}")
     stages, ready, held = _prepared(training, holdout, label, columns, categories, on_unseen, nulls)
     evaluator = BinaryClassificationEvaluator() if metric == "auc" else RegressionEvaluator(metricName="r2")
-    with kept(ready.select("label", "features"), held.select("label", "features")) as (train, test):
+    with kept(settled(ready.select("label", "features")), held.select("label", "features")) as (train, test):
         model, grid = _tune(
             train, LogisticRegression(), evaluator, reg_params, elastic_nets, train_share, seed, parallelism
         )

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from tablecraft import fixed_values as fixed
 from tablecraft.operators import top_rows_per
+from tablecraft.shared import settled
 
 
 def watch_ratings(
@@ -71,7 +72,7 @@ def new_items(model: ALSModel, ratings: DataFrame, n: int = fixed.RECOMMENDED_IT
     together stay in proportion to the ratings, however many one user has.
     """
     per_user = ratings.groupBy("user_id").agg(F.count(F.lit(1)).alias("_watched"))
-    classed = per_user.withColumn("_class", F.ceil(F.log2("_watched")).cast("int"))
+    classed = settled(per_user.withColumn("_class", F.ceil(F.log2("_watched")).cast("int")))
     classes = [row[0] for row in classed.select("_class").distinct().orderBy("_class").collect()]
     offers = [
         top_items(model, n + 2**size, classed.filter(F.col("_class") == size).select("user_id"))

@@ -6,7 +6,7 @@ import tempfile
 import uuid
 from functools import cache
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_KEY = "spark.checkpoint.dir"
 
@@ -30,3 +30,15 @@ def shared_folder(spark: SparkSession) -> str:
 def new_folder(spark: SparkSession, label: str) -> str:
     """A path below the shared folder that no other run uses."""
     return f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+def settled(frame: DataFrame) -> DataFrame:
+    """The same rows, written once below the shared folder and read from there.
+
+    Later jobs neither recompute them nor see another order of rows after an executor is
+    lost, which matters to whatever draws rows at random.
+    """
+    context = frame.sparkSession.sparkContext
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(shared_folder(frame.sparkSession))
+    return frame.checkpoint()

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StructField, StructType
 
 from tablecraft import streaming as live
-from tablecraft.shared import shared_folder
+from tablecraft.shared import settled, shared_folder
 from tablecraft.sources import file_stream
 
 SCHEMA = "timestamp timestamp, course_name string"
@@ -217,3 +217,11 @@ def test_shared_folder(spark):
     with pytest.raises(RuntimeError):
         shared_folder(Cluster("yarn", None))
     assert shared_folder(spark) == shared_folder(spark)
+
+
+def test_settled_rows_keep_no_lineage(spark):
+    frame = settled(spark.range(10).repartition(3))
+    assert frame.count() == 10
+    plan = frame._jdf.queryExecution().optimizedPlan().toString()
+    assert "LogicalRDD" in plan and "Range" not in plan
+    assert spark.sparkContext.getCheckpointDir().startswith(("file:" + shared_folder(spark), shared_folder(spark)))
