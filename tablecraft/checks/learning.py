@@ -307,22 +307,25 @@ def document_trials(spark: SparkSession, sf_dir: str) -> jobs.TrialParts:
     return jobs.trial_parts(jobs.trial_rows(rows), keys=["doc_id"])
 
 
+def fitted_on_trials(spark: SparkSession, sf_dir: str, fit) -> models.Fitted:
+    parts = document_trials(spark, sf_dir)
+    with models.kept(parts.training, parts.holdout) as (training, holdout):
+        return fit(training, holdout)
+
+
 @query()
 def tree_accuracy(spark, sf_dir):
-    parts = document_trials(spark, sf_dir)
-    return models.decision_tree(parts.training, parts.holdout).metrics
+    return fitted_on_trials(spark, sf_dir, models.decision_tree).metrics
 
 
 @query()
 def tree_rules(spark, sf_dir):
-    parts = document_trials(spark, sf_dir)
-    return models.rule_lines(models.decision_tree(parts.training, parts.holdout))
+    return models.rule_lines(fitted_on_trials(spark, sf_dir, models.decision_tree))
 
 
 @query()
 def forest_accuracy(spark, sf_dir):
-    parts = document_trials(spark, sf_dir)
-    return models.random_forest(parts.training, parts.holdout).metrics
+    return fitted_on_trials(spark, sf_dir, models.random_forest).metrics
 
 
 @query()
