@@ -16,13 +16,19 @@ def _local_folder(application_id: str) -> str:
     return tempfile.mkdtemp(prefix="tablecraft-")
 
 
+def _one_machine(master: str) -> bool:
+    """``local`` and ``local[n]`` run in one process; ``local-cluster[...]`` does not."""
+    return master == "local" or master.startswith("local[")
+
+
 def shared_folder(spark: SparkSession) -> str:
-    """Folder named by ``spark.checkpoint.dir``; a temporary one only in local mode."""
-    folder = spark.conf.get(CHECKPOINT_KEY, None)
+    """Folder named by ``spark.checkpoint.dir``, else the one given to
+    ``SparkContext.setCheckpointDir``; a temporary one only in local mode."""
+    folder = spark.conf.get(CHECKPOINT_KEY, None) or spark.sparkContext.getCheckpointDir()
     if folder:
         return folder.rstrip("/")
     context = spark.sparkContext
-    if not context.master.startswith("local"):
+    if not _one_machine(context.master):
         raise RuntimeError(f"set {CHECKPOINT_KEY} to a folder that all executors share")
     return _local_folder(context.applicationId)
 
@@ -32,13 +38,20 @@ def new_folder(spark: SparkSession, label: str) -> str:
     return f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
 
 
-def settled(frame: DataFrame) -> DataFrame:
-    """The same rows, written once below the shared folder and read from there.
+def _delete_at_end(spark: SparkSession, folder: str) -> None:
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(path)
+
+
+def settled(frame: DataFrame, label: str = "settled") -> DataFrame:
+    """The same rows, written once as Parquet below the shared folder and read from there.
 
     Later jobs neither recompute them nor see another order of rows after an executor is
-    lost, which matters to whatever draws rows at random.
+    lost, which matters to whatever draws rows at random. The files go when the session's
+    process ends.
     """
-    context = frame.sparkSession.sparkContext
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(shared_folder(frame.sparkSession))
-    return frame.checkpoint()
+    spark = frame.sparkSession
+    folder = new_folder(spark, label)
+    frame.write.parquet(folder)
+    _delete_at_end(spark, folder)
+    return spark.read.schema(frame.schema).parquet(folder)
