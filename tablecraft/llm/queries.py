@@ -7,7 +7,7 @@ from inspect import cleandoc
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tablecraft.llm import decontamination, mixing, neardup, quality, sharding
+from tablecraft.llm import decontamination, mixing, neardup, quality, secrets, sharding, tokenids
 
 Query = Callable[[SparkSession, str], DataFrame]
 LLM_QUERIES: dict[str, Query] = {}
@@ -28,6 +28,11 @@ def _query(oracle: str | None = None) -> Callable[[Query], Query]:
     return add
 
 
+@_query()
+def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.op2_secret_scan(_table(spark, sf_dir, "documents"))
+
+
 @_query()
 def op3_consistent_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.op3_consistent_sharding(_table(spark, sf_dir, "documents"))
@@ -51,3 +56,10 @@ def op6_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query()
 def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.op8_quality(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
+@_query()
+def op10_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    return tokenids.op10_token_ids(_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
