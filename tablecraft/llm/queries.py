@@ -7,7 +7,7 @@ from inspect import cleandoc
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tablecraft.llm import decontamination, mixing, neardup, quality, secrets, sharding, tokenids
+from tablecraft.llm import decontamination, htmltext, linetemplates, mixing, neardup, quality, secrets, sharding, tokenids
 
 Query = Callable[[SparkSession, str], DataFrame]
 LLM_QUERIES: dict[str, Query] = {}
@@ -53,11 +53,21 @@ def op6_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.op6_jaccard_join(_table(spark, sf_dir, "documents"))
 
 
+@_query()
+def op7_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return htmltext.op7_html_text(_table(spark, sf_dir, "pages"))
+
+
 @_query()
 def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.op8_quality(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
+@_query(linetemplates.OP9_SQL)
+def op9_line_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return linetemplates.op9_line_templates(_table(spark, sf_dir, "documents"))
+
+
 @_query()
 def op10_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
