@@ -119,7 +119,7 @@ def op9_line_templates(docs: DataFrame) -> DataFrame:
 OP9_SQL = r"""
     WITH lines AS (
         SELECT doc_id, coalesce(text, '') AS body, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
-               generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS at
+               generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS pos
         FROM documents
     ), tokened AS (
         SELECT *, list_filter(string_split_regex(line, '[\x20\x09-\x0D]+'), x -> x <> '') AS tokens FROM lines
@@ -151,7 +151,7 @@ OP9_SQL = r"""
         SELECT l.*, d.line IS NOT NULL AS gone FROM lines l LEFT JOIN dropped d ON l.line = d.line
     ), texts AS (
         SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE gone) AS n_dropped,
-               coalesce(string_agg(line, chr(10) ORDER BY at) FILTER (WHERE NOT gone), '') AS text
+               coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE NOT gone), '') AS text
         FROM marked GROUP BY doc_id
     )
     SELECT doc_id, n_lines, n_dropped, md5(text) AS kept_md5, length(text) AS n_chars FROM texts
