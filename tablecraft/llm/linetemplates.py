@@ -65,23 +65,26 @@ def recurring_lines(docs: DataFrame, least_texts: int = LEAST_TEXTS, broadcast_r
     leaves = _bounded(settled(leaves, "leaves"), broadcast_rows)
     inside = leafed.withColumn("leaf_hash", F.xxhash64("leaf")).join(leaves, "leaf_hash", "left_semi")
     lines = inside.select("leaf", "line", "body").distinct().groupBy("leaf", "line").agg(F.count(F.lit(1)).alias("n"))
-    lines = settled(lines, "lines")
-
-    spots = lines.select("leaf", "line", "n", F.posexplode(_tokens(F.col("line"))).alias("place", "token"))
-    constant = spots.groupBy("leaf", "place", "token").agg(F.sum("n").alias("m")).where(F.col("m") >= least_texts)
-    own = spots.join(constant, ["leaf", "place", "token"], "left").select(
-        "leaf",
-        "line",
-        "n",
-        F.struct("place", F.when(F.col("m").isNotNull() & ~F.col("token").rlike("[0-9]"), F.col("token")).otherwise("<*>").alias("t")).alias("p"),
-        F.when(F.col("m").isNotNull() | F.col("token").rlike("[0-9]"), 1).otherwise(0).alias("held"),
+    lines = settled(lines.withColumn("line_hash", F.xxhash64("leaf", "line")).withColumn("leaf", F.xxhash64("leaf")), "lines")
+
+    # Tokens travel as hashes: one row for each token of a distinct line.
+    hashes = F.transform(_tokens(F.col("line")), lambda t: F.xxhash64(t))
+    spots = lines.select("leaf", "line_hash", "n", F.posexplode(hashes).alias("place", "token"))
+    by_spot = ["leaf", "place", "token"]
+    constant = spots.groupBy(*by_spot).agg(F.sum("n").alias("m")).where(F.col("m") >= least_texts).select(*by_spot)
+    held = spots.join(constant, by_spot, "left_semi").groupBy("line_hash").agg(F.collect_set("place").alias("held"))
+    tokens = _tokens(F.col("line"))
+    fixed = F.transform(tokens, lambda t, i: F.coalesce(F.array_contains("held", i), F.lit(False)))
+    made = lines.join(held, "line_hash", "left").withColumn("fixed", fixed).withColumn("tokens", tokens)
+    constants = F.aggregate(
+        F.zip_with("tokens", "fixed", lambda t, f: (f | t.rlike("[0-9]")).cast("int")), F.lit(0), lambda a, x: a + x
     )
-    # A group is one distinct line: as many rows as it has tokens.
-    made = own.groupBy("leaf", "line", "n").agg(
-        F.array_join(F.transform(F.array_sort(F.collect_list("p")), lambda p: p["t"]), " ").alias("general"),
-        (F.avg("held") >= SIMILARITY).alias("alike"),
+    general = F.array_join(
+        F.zip_with("tokens", "fixed", lambda t, f: F.when(f & ~t.rlike("[0-9]"), t).otherwise(F.lit("<*>"))), " "
     )
-    templates = made.select("leaf", "line", "n", F.when(F.col("alike"), F.col("general")).otherwise(F.col("line")).alias("template"))
+    alike = constants / F.size("tokens") >= SIMILARITY
+    templates = made.select("leaf", "line", "n", F.when(alike, general).otherwise(F.col("line")).alias("template"))
+    templates = settled(templates, "templates")
     totals = templates.groupBy("leaf", "template").agg(F.sum("n").alias("n_texts")).where(F.col("n_texts") >= least_texts)
     return templates.join(totals, ["leaf", "template"]).select("line", "template", "n_texts")
 
@@ -96,7 +99,8 @@ def drop_recurring_lines(docs: DataFrame, least_texts: int = LEAST_TEXTS, broadc
     gone = places.select("row", "at").distinct().groupBy("row").agg(F.collect_set("at").alias("_gone"))
     gone = settled(gone.withColumnRenamed("row", "_row"), "gone")
     text = F.coalesce("text", F.lit(""))
-    joined = docs.withColumn("_row", F.xxhash64("doc_id", text)).join(gone, "_row", "left")
+    # What goes grows with the documents: never broadcast, and the same plan at every size.
+    joined = docs.withColumn("_row", F.xxhash64("doc_id", text)).join(gone.hint("shuffle_hash"), "_row", "left")
     lines = F.split(text, "\n")
     kept = F.when(F.col("_gone").isNull(), text).otherwise(
         F.array_join(F.filter(lines, lambda line, i: ~F.array_contains(F.col("_gone"), i)), "\n")
