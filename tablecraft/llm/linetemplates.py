@@ -126,10 +126,10 @@ OP9_SQL = r"""
                generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS pos
         FROM documents
     ), tokened AS (
-        SELECT *, list_filter(string_split_regex(line, '[\x20\x09-\x0D]+'), x -> x <> '') AS tokens FROM lines
+        SELECT *, list_filter(string_split_regex(line, '[\x20\x09-\x0D]+'), lambda x: x <> '') AS tokens FROM lines
     ), leafed AS (
         SELECT *, concat(len(tokens), ' ', array_to_string(list_transform(tokens[1:3],
-               x -> CASE WHEN regexp_matches(x, '[0-9]') THEN '<*>' ELSE x END), ' ')) AS leaf
+               lambda x: CASE WHEN regexp_matches(x, '[0-9]') THEN '<*>' ELSE x END), ' ')) AS leaf
         FROM tokened WHERE len(tokens) > 0
     ), leaves AS (
         SELECT leaf FROM leafed GROUP BY leaf HAVING count(DISTINCT body) >= 10
