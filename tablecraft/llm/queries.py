@@ -7,7 +7,7 @@ from inspect import cleandoc
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tablecraft.llm import decontamination, htmltext, linetemplates, mixing, neardup, quality, secrets, sharding, tokenids
+from tablecraft.llm import decontamination, htmltext, linetemplates, mixing, neardup, quality, secrets, sharding, suffixdedup, tokenids
 
 Query = Callable[[SparkSession, str], DataFrame]
 LLM_QUERIES: dict[str, Query] = {}
@@ -28,6 +28,11 @@ def _query(oracle: str | None = None) -> Callable[[Query], Query]:
     return add
 
 
+@_query()
+def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffixdedup.op1_suffix_dedup(_table(spark, sf_dir, "documents"))
+
+
 @_query()
 def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.op2_secret_scan(_table(spark, sf_dir, "documents"))
