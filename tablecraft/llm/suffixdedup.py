@@ -39,9 +39,9 @@ from tablecraft.shared import settled
 
 LENGTH = 50
 GRAM = 16
-GROUP_BYTES = 32 << 20  # text whose anchors meet in one group
-OPEN_BYTES = 4 << 20  # open contents that are sorted in one group
-BATCH_BYTES = 24 << 20
+GROUP_BYTES = 16 << 20  # text whose anchors meet in one group
+OPEN_BYTES = 1 << 20  # open contents that are sorted in one group
+BATCH_BYTES = 12 << 20
 _PLACE = np.uint64((1 << 30) - 1)
 _48 = np.uint64((1 << 48) - 1)
 
@@ -157,29 +157,40 @@ def _runs(starts: np.ndarray, ends: np.ndarray) -> bytes:
     return np.stack([starts, ends]).astype("<i8").T.tobytes()
 
 
+def _names_of(column: pa.Array, block: Block) -> np.ndarray:
+    """The names listed for each text of the block, mixed with the number of the text."""
+    parts = [b"".join(column[block.first + i].as_py() or ()) for i in range(block.n_texts)]
+    names = np.frombuffer(b"".join(parts), np.uint64)
+    return mix(names + np.repeat(np.arange(block.n_texts), [len(p) // 8 for p in parts]).astype(np.uint64))
+
+
 def _marked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for block in blocks(batch.column("text")):
             anchor, content, text, first, last = cells(block)
-            name = _key(anchor, content)
-            bounds = np.searchsorted(text, np.arange(block.n_texts + 1))
-            runs, opens, sizes = [], [], []
-            for i in range(block.n_texts):
-                a, b, origin = bounds[i], bounds[i + 1], block.starts[i]
-                names = [np.frombuffer(b"".join(batch.column(c)[block.first + i].as_py() or ()), np.uint64) for c in ("lost", "sent")]
-                lost = np.isin(name[a:b], names[0])
-                runs.append(_runs(first[a:b][lost] - origin, last[a:b][lost] + 1 - origin))
-                own = np.flatnonzero(np.isin(name[a:b], names[1])) + a
-                opens.append([(int(anchor[k]), int(first[k] - origin), block.data[first[k] : last[k] + LENGTH].tobytes()) for k in own])
-                sizes.append(sum(len(o[2]) for o in opens[-1]))
-            kind = pa.list_(pa.struct([("anchor", pa.int64()), ("at", pa.int64()), ("content", pa.binary())]))
+            name = mix(_key(anchor, content) + text.astype(np.uint64))
+            at = first - block.starts[text]
+            lost = np.flatnonzero(np.isin(name, _names_of(batch.column("lost"), block)))
+            pairs = np.stack([at[lost], (last - first + 1)[lost] + at[lost]]).astype("<i8").T
+            bounds = np.searchsorted(text[lost], np.arange(block.n_texts + 1))
+            runs = [pairs[a:b].tobytes() for a, b in zip(bounds, bounds[1:])]
+            sent = np.flatnonzero(np.isin(name, _names_of(batch.column("sent"), block)))
+            sizes = last[sent] + LENGTH - first[sent]
+            ends = np.cumsum(sizes)
+            source = np.repeat(first[sent] - (ends - sizes), sizes) + np.arange(int(sizes.sum()))
+            offsets = np.concatenate([[0], ends]).astype(np.int32)
+            data = pa.Array.from_buffers(pa.binary(), len(sent), [None, pa.py_buffer(offsets), pa.py_buffer(block.data[source].tobytes())])
+            fields = [pa.array(anchor[sent].astype(np.int64)), pa.array(at[sent]), data]
+            places = np.searchsorted(text[sent], np.arange(block.n_texts + 1)).astype(np.int32)
+            opens = pa.ListArray.from_arrays(pa.array(places), pa.StructArray.from_arrays(fields, names=["anchor", "at", "content"]))
+            total = np.bincount(text[sent], sizes, minlength=block.n_texts).astype(np.int64)
             yield pa.RecordBatch.from_pydict(
                 {
                     "row": batch.column("row").slice(block.first, block.n_texts),
                     "doc_id": batch.column("doc_id").slice(block.first, block.n_texts),
                     "runs": pa.array(runs, pa.binary()),
-                    "opens": pa.array([[dict(zip(("anchor", "at", "content"), o)) for o in own] for own in opens], kind),
-                    "n_open": pa.array(sizes, pa.int64()),
+                    "opens": opens,
+                    "n_open": pa.array(total),
                 }
             )
 
@@ -304,7 +315,7 @@ def remove_repeats(docs: DataFrame, group_bytes: int = GROUP_BYTES, open_bytes:
     dealt = numbered.select("doc_id", "text").mapInArrow(_dealt(groups), "group long, cells binary")
     met = dealt.groupBy("group").applyInArrow(_met, "doc_id long, lost binary, sent binary")
     per_doc = met.groupBy("doc_id").agg(F.collect_list("lost").alias("lost"), F.collect_list("sent").alias("sent"))
-    marked = numbered.dropDuplicates(["row"]).join(per_doc.hint("shuffle_hash"), "doc_id")
+    marked = numbered.join(per_doc.hint("shuffle_hash"), "doc_id")
     kind = "row long, doc_id long, runs binary, opens array<struct<anchor:bigint,at:bigint,content:binary>>, n_open long"
     marked = settled(marked.select("row", "doc_id", "text", "lost", "sent").mapInArrow(_marked, kind), "marked")
     open_total = marked.agg(F.sum("n_open")).first()[0] or 0
