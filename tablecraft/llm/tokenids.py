@@ -1,9 +1,10 @@
 """Token ids in files of independent rANS blocks.
 
-1. Texts become ids with the tokenizer. White space parts its pieces, so each distinct word
-   of a batch is encoded once and ids are put together by word.
-2. Ids of the whole table are counted; the counts, scaled to 2 ** PRECISION, are the shared
-   frequency table.
+1. Texts become ids with the tokenizer. It parts pieces at white space, and runs of letters
+   from other signs; each distinct piece is encoded once while it stays in a task's bounded
+   cache, and ids are put together by piece.
+2. Ids of the whole table are counted on the way; the counts, scaled to 2 ** PRECISION, are
+   the shared frequency table.
 3. Rows are ordered by id of the document over range partitions. Each partition writes
    blocks of whole documents, closed at ``BLOCK_TOKENS`` ids. A block is coded by a static
    range asymmetric numeral system in ``LANES`` interleaved lanes: lane l takes ids l,
@@ -36,21 +37,28 @@ from tablecraft.shared import new_folder, settled
 
 END_ID = 1
 PRECISION = 20
-LANES = 512
-BLOCK_TOKENS = 1 << 17
-CACHE_WORDS = 300_000
+LANES = 2048
+BLOCK_TOKENS = 1 << 19
+CACHE_PIECES = 600_000
 _LOW = np.uint64(1 << 31)
 _SENTINEL = "\u0001"
-_NOT_SPACE = re.compile("[\x1c-\x1f]")  # white space to str.split, but not to the tokenizer
 BLOCK_SCHEMA = "part int, block int, n_tokens long, doc_ids binary, doc_nulls binary, lengths binary, states binary, words binary, crc_ids long, crc_words long"
+_NOT_SPACE = re.compile("[\x1c-\x1f]")  # white space to str.split, but not to the tokenizer
+#: Characters whose lower case and kind (letter or not) are certain, and pieces of them: the
+#: tokenizer keeps runs of letters apart from runs of other signs, except for an apostrophe.
+_UNSURE = re.compile("[^\x00-\xa9\xab-\xb4\xb6-\xb9\xbb-\u012f\u0131-\u017f]|'")
+_PIECES = re.compile("[a-z\xdf-\xf6\xf8-\u017f]+|[^ \t-\ra-z\xdf-\xf6\xf8-\u017f]+")
 
 
-def _words(text: str) -> list[str]:
-    return re.split(r"[ \t-\r]+", text) if _NOT_SPACE.search(text) else text.split()
+def _pieces(text: str) -> list[str]:
+    """Parts of a text whose ids, one after another, are those of the text."""
+    if _NOT_SPACE.search(text) or "<|" in text:
+        return re.split(r"[ \t-\r]+", text)
+    return text.split() if _UNSURE.search(text) else _PIECES.findall(text.lower())
 
 
-class WordEncoder:
-    """Ids of texts, each distinct word encoded once while it stays in the bounded cache."""
+class PieceEncoder:
+    """Ids of texts, each distinct piece encoded once while it stays in the bounded cache."""
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
@@ -62,36 +70,43 @@ class WordEncoder:
 
     def forget(self) -> None:
         self.place: dict[str, int] = {}
-        self.ids = [np.zeros(0, np.uint32)]
+        self.ids = np.zeros(0, np.uint32)
         self.lengths = np.zeros(0, np.int64)
 
-    def _learn(self, words: list[str]) -> None:
-        plain = [w for w in words if _SENTINEL not in w and self.mark is not None]
-        odd = [w for w in words if _SENTINEL in w or self.mark is None]
-        found: list[np.ndarray] = []
+    def _one_by_one(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        found = [self.tokenizer.encode(p, add_special_tokens=False).ids for p in pieces]
+        return np.array([i for ids in found for i in ids], np.uint32), np.array([len(ids) for ids in found], np.int64)
+
+    def _learn(self, pieces: list[str]) -> None:
+        odd = [p for p in pieces if self.mark is None or _SENTINEL in p]
+        plain = [p for p in pieces if self.mark is not None and _SENTINEL not in p]
+        ids, lengths = [self.ids], [self.lengths]
         for i in range(0, len(plain), 4096):
             part = plain[i : i + 4096]
-            ids = np.array(self.tokenizer.encode(f" {_SENTINEL} ".join(part), add_special_tokens=False).ids, np.uint32)
-            pieces = np.split(ids, np.flatnonzero(ids == self.mark))
-            pieces = [pieces[0], *(p[1:] for p in pieces[1:])]
-            if len(pieces) != len(part):  # a word that holds the mark's piece in another guise
-                pieces = [np.array(self.tokenizer.encode(w, add_special_tokens=False).ids, np.uint32) for w in part]
-            found += pieces
-        found += [np.array(self.tokenizer.encode(w, add_special_tokens=False).ids, np.uint32) for w in odd]
-        self.place |= {w: len(self.lengths) + i for i, w in enumerate(plain + odd)}
-        self.ids.append(np.concatenate(found) if found else np.zeros(0, np.uint32))
-        self.lengths = np.concatenate([self.lengths, np.array([len(x) for x in found], np.int64)])
+            joined = f" {_SENTINEL} ".join(part)
+            got = np.array(self.tokenizer.encode(joined, add_special_tokens=False).ids, np.uint32)
+            marks = np.flatnonzero(got == self.mark)
+            if len(marks) == len(part) - 1:
+                ids.append(np.delete(got, marks))
+                lengths.append(np.diff(np.concatenate([[-1], marks, [len(got)]])) - 1)
+            else:  # a piece that holds the mark in another guise
+                own = self._one_by_one(part)
+                ids.append(own[0])
+                lengths.append(own[1])
+        own = self._one_by_one(odd)
+        base = len(self.lengths)
+        self.place.update(zip(plain + odd, range(base, base + len(pieces))))
+        self.ids = np.concatenate([*ids, own[0]])
+        self.lengths = np.concatenate([*lengths, own[1]])
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """All ids one after another, with the end id after each text, and their number by text."""
-        if len(self.place) > CACHE_WORDS:
+        if len(self.place) > CACHE_PIECES:
             self.forget()
-        split = [_words(text) for text in texts]
+        split = [_pieces(text) for text in texts]
         new = {w for words in split for w in words if w not in self.place}
         if new:
             self._learn(sorted(new))
-        if len(self.ids) > 1:
-            self.ids = [np.concatenate(self.ids)]
         firsts = np.cumsum(self.lengths) - self.lengths
         place = self.place
         which = np.array([place[w] for words in split for w in words], np.int64)
@@ -105,28 +120,41 @@ class WordEncoder:
         before = np.cumsum(length) - length
         source = np.repeat(start - before, length) + np.arange(int(length.sum()))
         source[before[ends]] = 0
-        out = self.ids[0][source] if len(self.ids[0]) else np.zeros(len(source), np.uint32)
+        out = self.ids[source] if len(self.ids) else np.zeros(len(source), np.uint32)
         out[before[ends]] = END_ID
         bounds = np.concatenate([[0], before[ends] + 1])
         return out, np.diff(bounds)
 
 
+_press = zstandard.ZstdCompressor(level=1)
+_unpress = zstandard.ZstdDecompressor()
+
+
 def _packed(ids: np.ndarray) -> bytes:
-    """Ids by byte planes, compressed: what travels between tasks."""
-    planes = ids.astype("<u4").view(np.uint8).reshape(-1, 4).T
-    return zstandard.ZstdCompressor(level=1).compress(planes.tobytes())
+    """Ids by byte planes, compressed: what travels between tasks. The first byte is the width."""
+    width = 2 if not len(ids) or ids.max() < 1 << 16 else 4
+    planes = ids.astype(f"<u{width}").view(np.uint8).reshape(-1, width).T
+    return bytes([width]) + _press.compress(planes.tobytes())
 
 
 def _unpacked(data: bytes) -> np.ndarray:
-    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(data), np.uint8).reshape(4, -1)
-    return np.ascontiguousarray(planes.T).view("<u4").ravel()
+    width = data[0]
+    planes = np.frombuffer(_unpress.decompress(data[1:]), np.uint8).reshape(width, -1)
+    return np.ascontiguousarray(planes.T).view(f"<u{width}").ravel().astype(np.uint32)
+
+
+_encoders: dict[str, PieceEncoder] = {}
 
 
 def token_rows(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """key, ids (packed), n: the ids of each row's text, with the end id."""
+    """key, ids (packed), n: the ids of each row's text, with the end id.
+
+    Each task adds a row without n that holds its count of every id.
+    """
 
     def encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = WordEncoder(path)
+        encoder = _encoders.setdefault(path, PieceEncoder(path)) if path not in _encoders else _encoders[path]
+        total = np.zeros(0, np.int64)
         for batch in batches:
             texts = batch.column("_text")
             i = 0
@@ -136,11 +164,18 @@ def token_rows(docs: DataFrame, path: str, key: str = "doc_id", text: str = "tex
                     size += len(texts[j].as_buffer() or b"")
                     j += 1
                 ids, counts = encoder.encode(texts.slice(i, j - i).to_pylist())
-                parts = np.split(ids, np.cumsum(counts)[:-1])
+                count = np.bincount(ids, minlength=len(total))
+                count[: len(total)] += total
+                total = count
+                ends = np.cumsum(counts)
+                parts = [_packed(ids[a:b]) for a, b in zip(ends - counts, ends)]
                 yield pa.RecordBatch.from_pydict(
-                    {"key": batch.column("key").slice(i, j - i), "ids": pa.array(map(_packed, parts), pa.binary()), "n": counts}
+                    {"key": batch.column("key").slice(i, j - i), "ids": pa.array(parts, pa.binary()), "n": pa.array(counts, pa.int64())}
                 )
                 i = j
+        yield pa.RecordBatch.from_pydict(
+            {"key": pa.array([None], pa.int64()), "ids": pa.array([total.astype("<i8").tobytes()]), "n": pa.array([None], pa.int64())}
+        )
 
     rows = docs.select(F.col(key).cast("long").alias("key"), F.coalesce(text, F.lit("")).alias("_text"))
     return rows.mapInArrow(encoded, "key long, ids binary, n long")
@@ -153,17 +188,13 @@ def frequencies(rows: DataFrame, precision: int = PRECISION) -> DataFrame:
     """
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(0, np.int64)
         for batch in batches:
             for value in batch.column("ids"):
-                count = np.bincount(_unpacked(value.as_py()))
-                if len(count) > len(total):
-                    total = np.concatenate([total, np.zeros(len(count) - len(total), np.int64)])
-                total[: len(count)] += count
-        seen = np.flatnonzero(total)
-        yield pa.RecordBatch.from_pydict({"id": seen.astype(np.int32), "n": total[seen]})
-
-    counts = rows.select("ids").mapInArrow(counted, "id int, n long").groupBy("id").agg(F.sum("n").alias("n"))
+                count = np.frombuffer(value.as_py(), "<i8")
+                seen = np.flatnonzero(count)
+                yield pa.RecordBatch.from_pydict({"id": seen.astype(np.int32), "n": count[seen]})
+
+    counts = rows.where("n IS NULL").select("ids").mapInArrow(counted, "id int, n long").groupBy("id").agg(F.sum("n").alias("n"))
     whole = Window.partitionBy()
     by_size = Window.orderBy(F.desc("n"), "id")
     scaled = F.greatest(F.lit(1), F.floor(F.col("n") / F.sum("n").over(whole) * ((1 << precision) - F.count("id").over(whole))))
@@ -341,5 +372,5 @@ def read_blocks(spark, folder: str) -> DataFrame:
 def op10_token_ids(docs: DataFrame, path: str) -> DataFrame:
     folder = new_folder(docs.sparkSession, "token-ids")
     rows = settled(token_rows(docs, path), "ids")
-    write_blocks(rows, frequencies(rows), folder)
+    write_blocks(rows.where("n IS NOT NULL"), frequencies(rows), folder)
     return read_blocks(docs.sparkSession, folder).drop("ids")
