@@ -122,8 +122,37 @@ def _dealt(groups: int):
     return deal
 
 
-def _met(key, table):
-    """Per document: names of its repeated contents, and of those that it sends on."""
+def _met(groups: int):
+    """Per bucket of documents: document, name and kind (1: sent on) of the contents marked."""
+
+    def met(key, table):
+        doc, name, opened = _marks(table)
+        bucket = (mix(doc.astype(np.uint64)) % np.uint64(groups)).astype(np.int64)
+        order = np.lexsort((name, doc, bucket))
+        doc, name, opened, bucket = doc[order], name[order], opened[order], bucket[order]
+        names, firsts = np.unique(bucket, return_index=True)
+        bounds = [*firsts, len(bucket)]
+        data = [_pack(doc[a:b], name[a:b], opened[a:b]) for a, b in zip(bounds, bounds[1:])]
+        return pa.table({"bucket": pa.array(names, pa.int64()), "marks": pa.array(data, pa.binary())})
+
+    return met
+
+
+def _per_doc(key, table):
+    """doc_id, lost, sent: the names marked, of the documents of a bucket."""
+    doc, name, opened = (np.concatenate(x) for x in zip(*(_unpack(d.as_py(), 3) for d in table.column("marks"))))
+    doc, opened = doc.astype(np.int64), opened > 0
+    order = np.lexsort((name, doc))
+    doc, name, opened = doc[order], name[order], opened[order]
+    ids, firsts = np.unique(doc, return_index=True)
+    bounds = [*firsts, len(doc)]
+    lost = [name[a:b][~opened[a:b]].tobytes() for a, b in zip(bounds, bounds[1:])]
+    sent = [np.unique(name[a:b][opened[a:b]]).tobytes() for a, b in zip(bounds, bounds[1:])]
+    return pa.table({"doc_id": pa.array(ids, pa.int64()), "lost": pa.array(lost, pa.binary()), "sent": pa.array(sent, pa.binary())})
+
+
+def _marks(table: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """doc, name, opened of the contents that are repeated or open."""
     parts = [_unpack(data.as_py(), 3) for data in table.column("cells")]
     anchor, content, doc = (np.concatenate(x) for x in zip(*parts))
     doc = doc.astype(np.int64)
@@ -143,14 +172,7 @@ def _met(key, table):
     several &= np.minimum.reduceat(doc, at) < np.maximum.reduceat(doc, at)
     opened = new & several[of]
     taken = repeated | opened
-    doc, name, opened = doc[taken], _key(anchor[taken], content[taken]), opened[taken]
-    order = np.lexsort((name, opened, doc))
-    doc, name, opened = doc[order], name[order], opened[order]
-    ids, firsts = np.unique(doc, return_index=True)
-    bounds = [*firsts, len(doc)]
-    lost = [name[a:b][~opened[a:b]].tobytes() for a, b in zip(bounds, bounds[1:])]
-    sent = [np.unique(name[a:b][opened[a:b]]).tobytes() for a, b in zip(bounds, bounds[1:])]
-    return pa.table({"doc_id": pa.array(ids, pa.int64()), "lost": pa.array(lost, pa.binary()), "sent": pa.array(sent, pa.binary())})
+    return doc[taken], _key(anchor[taken], content[taken]), opened[taken].astype(np.uint64)
 
 
 def _runs(starts: np.ndarray, ends: np.ndarray) -> bytes:
@@ -159,7 +181,7 @@ def _runs(starts: np.ndarray, ends: np.ndarray) -> bytes:
 
 def _names_of(column: pa.Array, block: Block) -> np.ndarray:
     """The names listed for each text of the block, mixed with the number of the text."""
-    parts = [b"".join(column[block.first + i].as_py() or ()) for i in range(block.n_texts)]
+    parts = [column[block.first + i].as_py() or b"" for i in range(block.n_texts)]
     names = np.frombuffer(b"".join(parts), np.uint64)
     return mix(names + np.repeat(np.arange(block.n_texts), [len(p) // 8 for p in parts]).astype(np.uint64))
 
@@ -313,8 +335,8 @@ def remove_repeats(docs: DataFrame, group_bytes: int = GROUP_BYTES, open_bytes:
     total = numbered.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     groups = max(1, -(-total // group_bytes))
     dealt = numbered.select("doc_id", "text").mapInArrow(_dealt(groups), "group long, cells binary")
-    met = dealt.groupBy("group").applyInArrow(_met, "doc_id long, lost binary, sent binary")
-    per_doc = met.groupBy("doc_id").agg(F.collect_list("lost").alias("lost"), F.collect_list("sent").alias("sent"))
+    met = dealt.groupBy("group").applyInArrow(_met(groups), "bucket long, marks binary")
+    per_doc = met.groupBy("bucket").applyInArrow(_per_doc, "doc_id long, lost binary, sent binary")
     marked = numbered.join(per_doc.hint("shuffle_hash"), "doc_id")
     kind = "row long, doc_id long, runs binary, opens array<struct<anchor:bigint,at:bigint,content:binary>>, n_open long"
     marked = settled(marked.select("row", "doc_id", "text", "lost", "sent").mapInArrow(_marked, kind), "marked")
