@@ -34,7 +34,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tablecraft.llm.textblocks import Block, blocks, mix
+from tablecraft.llm.textblocks import Block, blocks, mix, repeated
 from tablecraft.shared import settled
 
 LENGTH = 50
@@ -47,11 +47,12 @@ _48 = np.uint64((1 << 48) - 1)
 
 
 def cells(block: Block) -> tuple[np.ndarray, ...]:
-    """anchor, content (48-bit hashes), text, first and last window start of every cell."""
+    """anchor, content (48-bit hashes), text, first and last window start and place of the
+    anchor of every cell."""
     size = len(block.data)
     n = size - LENGTH + 1
     if n <= 0:
-        return tuple(np.zeros(0, np.uint64) for _ in range(2)) + tuple(np.zeros(0, np.int64) for _ in range(3))
+        return tuple(np.zeros(0, np.uint64) for _ in range(2)) + tuple(np.zeros(0, np.int64) for _ in range(4))
     at = np.arange(size - GRAM + 1)
     grams = block.hashes(at, at + GRAM)
     least = (grams & ~_PLACE) | at.astype(np.uint64)
@@ -72,7 +73,7 @@ def cells(block: Block) -> tuple[np.ndarray, ...]:
     ends[:-1] = (anchor[1:] != anchor[:-1]) | (text[1:] != text[:-1]) | ~inside[1:]
     last = np.flatnonzero(ends & inside)
     content = block.hashes(first, last + LENGTH) + (anchor[first] - first).astype(np.uint64)
-    return mix(grams[anchor[first]]) & _48, mix(content) & _48, text[first], first, last
+    return mix(grams[anchor[first]]) & _48, mix(content) & _48, text[first], first, last, anchor[first]
 
 
 def _key(anchor: np.ndarray, content: np.ndarray) -> np.ndarray:
@@ -109,7 +110,7 @@ def _dealt(groups: int):
         for batch in batches:
             ids = batch.column("doc_id").to_numpy()
             for block in blocks(batch.column("text")):
-                anchor, content, text, _, _ = cells(block)
+                anchor, content, text, *_ = cells(block)
                 if len(anchor):
                     held.append((anchor, content, ids[block.first + text].astype(np.uint64)))
                 size += len(block.data)
@@ -189,7 +190,7 @@ def _names_of(column: pa.Array, block: Block) -> np.ndarray:
 def _marked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for block in blocks(batch.column("text")):
-            anchor, content, text, first, last = cells(block)
+            anchor, content, text, first, last, spot = cells(block)
             name = mix(_key(anchor, content) + text.astype(np.uint64))
             at = first - block.starts[text]
             lost = np.flatnonzero(np.isin(name, _names_of(batch.column("lost"), block)))
@@ -202,9 +203,9 @@ def _marked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             source = np.repeat(first[sent] - (ends - sizes), sizes) + np.arange(int(sizes.sum()))
             offsets = np.concatenate([[0], ends]).astype(np.int32)
             data = pa.Array.from_buffers(pa.binary(), len(sent), [None, pa.py_buffer(offsets), pa.py_buffer(block.data[source].tobytes())])
-            fields = [pa.array(anchor[sent].astype(np.int64)), pa.array(at[sent]), data]
+            fields = [pa.array(anchor[sent].astype(np.int64)), pa.array(at[sent]), pa.array((spot - first)[sent]), data]
             places = np.searchsorted(text[sent], np.arange(block.n_texts + 1)).astype(np.int32)
-            opens = pa.ListArray.from_arrays(pa.array(places), pa.StructArray.from_arrays(fields, names=["anchor", "at", "content"]))
+            opens = pa.ListArray.from_arrays(pa.array(places), pa.StructArray.from_arrays(fields, names=["anchor", "at", "spot", "content"]))
             total = np.bincount(text[sent], sizes, minlength=block.n_texts).astype(np.int64)
             yield pa.RecordBatch.from_pydict(
                 {
@@ -298,7 +299,32 @@ def repeated_windows(contents: list[bytes], docs: np.ndarray) -> list[np.ndarray
     return [p - s for p, s in zip(parts, starts)]
 
 
+def _with_partner(table: pa.Table) -> np.ndarray:
+    """Whether another content of the anchor agrees with it on 17 bytes left or right of it.
+
+    A window reaches that far beyond its anchor on one side at least, so contents without a
+    partner share no window.
+    """
+    side = (LENGTH - GRAM) // 2
+    content = table.column("content").combine_chunks()
+    offsets = np.frombuffer(content.buffers()[1], np.int32)[content.offset : content.offset + len(content) + 1].astype(np.int64)
+    data = np.frombuffer(content.buffers()[2], np.uint8)
+    words = np.ndarray((len(data) - 7,), "<u8", data.tobytes(), strides=(1,))
+    anchor = table.column("anchor").to_numpy().astype(np.uint64)
+    spot = table.column("spot").to_numpy() + offsets[:-1]
+    held = np.zeros(len(content), bool)
+    for start, there in ((spot - side, spot - side >= offsets[:-1]), (spot + GRAM, spot + GRAM + side <= offsets[1:])):
+        some = np.flatnonzero(there)
+        key = anchor[some]
+        for k in (0, 8, side - 8):
+            key = mix(key + words[start[some] + k])
+        many, _ = repeated(key)
+        held[some[many]] = True
+    return held
+
+
 def _sorted_group(key, table):
+    table = table.filter(pa.array(_with_partner(table)))
     contents = table.column("content").to_pylist()
     docs, at = table.column("doc_id").to_numpy(), table.column("at").to_numpy()
     found = repeated_windows(contents, docs)
@@ -338,12 +364,12 @@ def remove_repeats(docs: DataFrame, group_bytes: int = GROUP_BYTES, open_bytes:
     met = dealt.groupBy("group").applyInArrow(_met(groups), "bucket long, marks binary")
     per_doc = met.groupBy("bucket").applyInArrow(_per_doc, "doc_id long, lost binary, sent binary")
     marked = numbered.join(per_doc.hint("shuffle_hash"), "doc_id")
-    kind = "row long, doc_id long, runs binary, opens array<struct<anchor:bigint,at:bigint,content:binary>>, n_open long"
+    kind = "row long, doc_id long, runs binary, opens array<struct<anchor:bigint,at:bigint,spot:bigint,content:binary>>, n_open long"
     marked = settled(marked.select("row", "doc_id", "text", "lost", "sent").mapInArrow(_marked, kind), "marked")
     open_total = marked.agg(F.sum("n_open")).first()[0] or 0
     parts = max(1, -(-open_total // open_bytes))
     opened = marked.select("row", "doc_id", F.explode("opens").alias("o")).select(
-        "row", "doc_id", "o.at", "o.content", F.pmod(F.xxhash64("o.anchor"), F.lit(parts)).alias("part")
+        "row", "doc_id", "o.anchor", "o.at", "o.spot", "o.content", F.pmod(F.xxhash64("o.anchor"), F.lit(parts)).alias("part")
     )
     windows = opened.groupBy("part").applyInArrow(_sorted_group, "row long, runs binary")
     runs = marked.where(F.length("runs") > 0).select("row", "runs").union(windows)
