@@ -25,6 +25,7 @@ from __future__ import annotations
 import re
 import zlib
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -39,7 +40,7 @@ END_ID = 1
 PRECISION = 20
 LANES = 2048
 BLOCK_TOKENS = 1 << 19
-CACHE_PIECES = 600_000
+CACHE_PIECES = 1_500_000
 _LOW = np.uint64(1 << 31)
 _SENTINEL = "\u0001"
 BLOCK_SCHEMA = "part int, block int, n_tokens long, doc_ids binary, doc_nulls binary, lengths binary, states binary, words binary, crc_ids long, crc_words long"
@@ -52,9 +53,10 @@ _PIECES = re.compile("[a-z\xdf-\xf6\xf8-\u017f]+|[^ \t-\ra-z\xdf-\xf6\xf8-\u017f
 
 def _pieces(text: str) -> list[str]:
     """Parts of a text whose ids, one after another, are those of the text."""
-    if _NOT_SPACE.search(text) or "<|" in text:
+    if "<|" in text or _NOT_SPACE.search(text):
         return re.split(r"[ \t-\r]+", text)
-    return text.split() if _UNSURE.search(text) else _PIECES.findall(text.lower())
+    unsure = "'" in text if text.isascii() else _UNSURE.search(text)
+    return text.split() if unsure else _PIECES.findall(text.lower())
 
 
 class PieceEncoder:
@@ -104,13 +106,13 @@ class PieceEncoder:
         if len(self.place) > CACHE_PIECES:
             self.forget()
         split = [_pieces(text) for text in texts]
-        new = {w for words in split for w in words if w not in self.place}
+        new = set().union(*split) - self.place.keys()
         if new:
             self._learn(sorted(new))
         firsts = np.cumsum(self.lengths) - self.lengths
-        place = self.place
-        which = np.array([place[w] for words in split for w in words], np.int64)
         n_words = np.array([len(words) for words in split], np.int64)
+        every = map(self.place.__getitem__, chain.from_iterable(split))
+        which = np.fromiter(every, np.int64, int(n_words.sum()))
         # The end of each text is one more piece of one id.
         ends = np.cumsum(n_words) + np.arange(len(texts))
         length, start = np.ones(len(which) + len(texts), np.int64), np.zeros(len(which) + len(texts), np.int64)
