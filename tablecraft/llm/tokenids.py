@@ -25,6 +25,7 @@ from __future__ import annotations
 import re
 import zlib
 from collections.abc import Iterator
+from functools import cache
 from itertools import chain
 
 import numpy as np
@@ -145,7 +146,10 @@ def _unpacked(data: bytes) -> np.ndarray:
     return np.ascontiguousarray(planes.T).view(f"<u{width}").ravel().astype(np.uint32)
 
 
-_encoders: dict[str, PieceEncoder] = {}
+@cache
+def encoder_of(path: str) -> PieceEncoder:
+    """One encoder for each Python worker, shared by its tasks one after another."""
+    return PieceEncoder(path)
 
 
 def token_rows(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -155,7 +159,7 @@ def token_rows(docs: DataFrame, path: str, key: str = "doc_id", text: str = "tex
     """
 
     def encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = _encoders.setdefault(path, PieceEncoder(path)) if path not in _encoders else _encoders[path]
+        encoder = encoder_of(path)
         total = np.zeros(0, np.int64)
         for batch in batches:
             texts = batch.column("_text")
