@@ -113,7 +113,7 @@ def mix(
     odds = (F.col("draw") / (1 - F.col("draw"))) / (F.col("chance") / (1 - F.col("chance")))
     ranked = (
         chances.withColumn("order", F.when(open_to_draw, odds / (1 + odds)))
-        .withColumn("bucket", F.least(F.lit(BUCKETS - 1), F.floor(F.col("order") * BUCKETS)).cast("int"))
+        .withColumn("bucket", F.when(F.col("order") < 1, F.floor(F.col("order") * BUCKETS)).when(F.col("order").isNotNull(), BUCKETS - 1).cast("int"))
         .select("key", "draw_key", "source", "size", "source_size", "target", "certain", "order", "bucket", *extra)
     )
     ranked = settled(ranked, "ranked")
