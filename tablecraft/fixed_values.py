@@ -24,8 +24,6 @@ STRICT_SUBJECT = "Biology"
 STRICT_GRADES = ("A",)
 PASSING_GRADES = ("A", "B", "C")
 
-# Characters a word may keep.
-NOT_A_LETTER = "[^a-zA-Z]"
 TOP_WORDS = 10
 
 MONTH_NAMES = (

@@ -7,13 +7,12 @@ from collections.abc import Mapping, Sequence
 from pyspark.ml.feature import (
     IndexToString, OneHotEncoder, StringIndexer, StringIndexerModel, VectorAssembler,
 )
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType
 
 from tablecraft.functions import null_to_zero
-
-MAX_LABELS = 100_000
+from tablecraft.shared import settled
 
 
 def substitute_nulls(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -41,21 +40,13 @@ def string_indexer(columns: Sequence[str], on_unseen: str = "error") -> StringIn
     )
 
 
-def check_label_counts(df: DataFrame, columns: Sequence[str], limit: int = MAX_LABELS) -> None:
-    """Refuse to index a column with too many labels: the driver holds all of them."""
-    if not columns:
-        return
-    counts = df.agg(*[F.approx_count_distinct(c).alias(c) for c in columns]).first()
-    too_many = {c: counts[c] for c in columns if counts[c] > limit}
-    if too_many:
-        raise ValueError(f"too many labels to index (limit {limit}): {too_many}")
-
-
 def index_labels(
-    df: DataFrame, columns: Sequence[str], on_unseen: str = "error", limit: int = MAX_LABELS
+    df: DataFrame, columns: Sequence[str], on_unseen: str = "error"
 ) -> tuple[StringIndexerModel, DataFrame]:
-    """Fit an indexer on ``df`` and add the index columns."""
-    check_label_counts(df, columns, limit)
+    """Fit an indexer on ``df`` and add the index columns.
+
+    The model holds every label; ``label_table`` is the way for categories beyond a driver.
+    """
     model = string_indexer(columns, on_unseen).fit(df)
     return model, model.transform(df)
 
@@ -104,6 +95,24 @@ def feature_terms(df: DataFrame, features: str = "features") -> list[str]:
     return [slot["name"] for slot in slots]
 
 
+def label_table(df: DataFrame, column: str) -> DataFrame:
+    """label, index: the indices of ``string_indexer`` as a table, for any number of labels.
+
+    Labels are counted, laid over range partitions by falling count, and numbered inside
+    each; only the sizes of the partitions are added up in one place. Nulls get no index.
+    """
+    counts = df.where(F.col(column).isNotNull()).groupBy(F.col(column).cast("string").alias("label")).agg(
+        F.count(F.lit(1)).alias("_n")
+    )
+    order = [F.desc("_n"), F.asc("label")]
+    laid = settled(counts.repartitionByRange(*order).withColumn("_part", F.spark_partition_id()))
+    sizes = laid.groupBy("_part").agg(F.count(F.lit(1)).alias("_size"))
+    before = sizes.select("_part", (F.sum("_size").over(Window.orderBy("_part")) - F.col("_size")).alias("_before"))
+    place = F.row_number().over(Window.partitionBy("_part").orderBy(*order)) - 1
+    numbered = laid.withColumn("_place", place).join(before, "_part")
+    return numbered.select("label", (F.col("_before") + F.col("_place")).cast("double").alias("index"))
+
+
 def stable_split(
     df: DataFrame, share: float, keys: Sequence[str], seed: int = 0
 ) -> tuple[DataFrame, DataFrame]:
@@ -122,7 +131,7 @@ def in_first_part(keys: Sequence[str], share: float, seed: int = 0):
         raise ValueError("share must lie between 0 and 1")
     parts = [F.coalesce(F.col(key).cast("string"), F.lit("")) for key in keys]
     digest = F.md5(F.concat_ws("|", F.lit(str(seed)), *parts))
-    return F.substring(digest, 1, 8) < F.lit(f"{round(share * 16**8):08x}")
+    return F.substring(digest, 1, 8) < F.lit(f"{min(round(share * 16**8), 16**8 - 1):08x}")
 
 
 def random_split(df: DataFrame, share: float, seed: int) -> tuple[DataFrame, DataFrame]:

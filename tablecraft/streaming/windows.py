@@ -59,6 +59,13 @@ def tumbling_views_sql(
     )
 
 
+def _seconds_of(interval: str) -> float:
+    """Length of a plain interval such as "10 minutes"."""
+    units = {"second": 1, "minute": 60, "hour": 3600, "day": 86400, "week": 604800}
+    number, unit = interval.split()
+    return float(number) * units[unit.lower().removesuffix("s")]
+
+
 def sliding_views(
     records: DataFrame,
     time: str = "timestamp",
@@ -72,8 +79,10 @@ def sliding_views(
 
     Each record is counted once in its slide-long piece; only the counted pieces are
     spread over the ``width / slide`` windows that contain them. ``width`` must be a
-    multiple of ``slide``.
+    multiple of ``slide``; another width raises ``ValueError``.
     """
+    if _seconds_of(width) % _seconds_of(slide):
+        raise ValueError(f"width {width!r} is not a multiple of slide {slide!r}")
     timed = event_time(records, time, lateness)
     pieces = timed.groupBy(F.window(time, slide).alias("piece"), name).agg(F.count(F.lit(1)).alias("_n"))
     spread = pieces.groupBy(F.window("piece", width, slide), name).agg(F.sum("_n").alias("_n"))

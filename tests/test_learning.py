@@ -38,10 +38,12 @@ def test_several_columns_and_unseen_labels(spark):
     assert skipping.transform(test).count() == 0
 
 
-def test_too_many_labels_are_refused(spark):
-    frame = spark.range(2000).selectExpr("cast(id AS string) AS a")
-    with pytest.raises(ValueError, match="too many labels"):
-        ft.index_labels(frame, ["a"], limit=1000)
+def test_label_table_gives_the_indexers_numbers_for_many_labels(spark):
+    frame = spark.range(200_000).selectExpr("cast(id % 150000 AS string) AS a").union(spark.createDataFrame([(None,)], "a string"))
+    numbers = {r["label"]: r["index"] for r in ft.label_table(frame, "a").collect()}
+    assert len(numbers) == 150_000 and sorted(numbers.values()) == [float(i) for i in range(150_000)]
+    labels = ft.string_indexer(["a"]).setHandleInvalid("skip").fit(frame).labelsArray[0]
+    assert [numbers[label] for label in labels] == [float(i) for i in range(150_000)]
 
 
 def test_null_policies(spark):
