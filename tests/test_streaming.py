@@ -209,19 +209,25 @@ def test_shared_folder(spark):
             return self.value or default
 
     class Cluster:
-        def __init__(self, master, folder):
+        def __init__(self, master, folder, set_on_context=None):
             self.conf = Conf(folder)
-            self.sparkContext = type("Context", (), {"master": master, "applicationId": "app"})()
+            context = {"master": master, "applicationId": "app", "getCheckpointDir": lambda _: set_on_context}
+            self.sparkContext = type("Context", (), context)()
 
     assert shared_folder(Cluster("yarn", "hdfs://shared/work/")) == "hdfs://shared/work"
     with pytest.raises(RuntimeError):
         shared_folder(Cluster("yarn", None))
+    with pytest.raises(RuntimeError):
+        shared_folder(Cluster("local-cluster[2,1,1024]", None))
+    assert shared_folder(Cluster("yarn", None, "hdfs://set/before")) == "hdfs://set/before"
     assert shared_folder(spark) == shared_folder(spark)
 
 
 def test_settled_rows_keep_no_lineage(spark):
+    before = spark.sparkContext.getCheckpointDir()
     frame = settled(spark.range(10).repartition(3))
     assert frame.count() == 10
     plan = frame._jdf.queryExecution().optimizedPlan().toString()
-    assert "LogicalRDD" in plan and "Range" not in plan
-    assert spark.sparkContext.getCheckpointDir().startswith(("file:" + shared_folder(spark), shared_folder(spark)))
+    assert "parquet" in plan and "Range" not in plan
+    assert all(shared_folder(spark) in path for path in frame.inputFiles())
+    assert spark.sparkContext.getCheckpointDir() == before
