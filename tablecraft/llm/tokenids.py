@@ -50,6 +50,9 @@ _NOT_SPACE = re.compile("[\x1c-\x1f]")  # white space to str.split, but not to t
 #: tokenizer keeps runs of letters apart from runs of other signs, except for an apostrophe.
 _UNSURE = re.compile("[^\x00-\xa9\xab-\xb4\xb6-\xb9\xbb-\u012f\u0131-\u017f]|'")
 _PIECES = re.compile("[a-z\xdf-\xf6\xf8-\u017f]+|[^ \t-\ra-z\xdf-\xf6\xf8-\u017f]+")
+#: Runs of letters that the tokenizer passes to its model whole and, in lower case, as they are.
+_LETTER_RUN = re.compile("[a-z\xdf-\xf6\xf8-\u0130\u0132-\u017e]+")
+_PROBES = ("a", "token", "stra\xdfe", "\u0142\xf3d\u017a")
 
 
 def _pieces(text: str) -> list[str]:
@@ -60,60 +63,79 @@ def _pieces(text: str) -> list[str]:
     return text.split() if unsure else _PIECES.findall(text.lower())
 
 
+class _Places(dict):
+    """Numbers of pieces; a piece that is not known gets the next one and is noted."""
+
+    def __init__(self):
+        self.new: list[str] = []
+
+    def __missing__(self, piece: str) -> int:
+        place = self[piece] = len(self)
+        self.new.append(piece)
+        return place
+
+
 class PieceEncoder:
     """Ids of texts, each distinct piece encoded once while it stays in the bounded cache."""
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
+        from tokenizers.pre_tokenizers import ByteLevel
 
         self.tokenizer = Tokenizer.from_file(path)
         ids = self.tokenizer.encode(_SENTINEL, add_special_tokens=False).ids
         self.mark = ids[0] if len(ids) == 1 else None
+        self.bytes_as_text = ByteLevel(add_prefix_space=False, use_regex=False)
+        whole = [self.tokenizer.encode(p, add_special_tokens=False).ids for p in _PROBES]
+        self.plain_letters = whole == [self._of_letters(p) for p in _PROBES]
         self.forget()
 
     def forget(self) -> None:
-        self.place: dict[str, int] = {}
+        self.place = _Places()
         self.ids = np.zeros(0, np.uint32)
         self.lengths = np.zeros(0, np.int64)
 
-    def _one_by_one(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        found = [self.tokenizer.encode(p, add_special_tokens=False).ids for p in pieces]
-        return np.array([i for ids in found for i in ids], np.uint32), np.array([len(ids) for ids in found], np.int64)
-
-    def _learn(self, pieces: list[str]) -> None:
-        odd = [p for p in pieces if self.mark is None or _SENTINEL in p]
-        plain = [p for p in pieces if self.mark is not None and _SENTINEL not in p]
-        ids, lengths = [self.ids], [self.lengths]
-        for i in range(0, len(plain), 4096):
-            part = plain[i : i + 4096]
-            joined = f" {_SENTINEL} ".join(part)
-            got = np.array(self.tokenizer.encode(joined, add_special_tokens=False).ids, np.uint32)
-            marks = np.flatnonzero(got == self.mark)
-            if len(marks) == len(part) - 1:
-                ids.append(np.delete(got, marks))
-                lengths.append(np.diff(np.concatenate([[-1], marks, [len(got)]])) - 1)
-            else:  # a piece that holds the mark in another guise
-                own = self._one_by_one(part)
-                ids.append(own[0])
-                lengths.append(own[1])
-        own = self._one_by_one(odd)
-        base = len(self.lengths)
-        self.place.update(zip(plain + odd, range(base, base + len(pieces))))
-        self.ids = np.concatenate([*ids, own[0]])
-        self.lengths = np.concatenate([*lengths, own[1]])
+    def _of_letters(self, run: str) -> list[int]:
+        """Ids of a run of letters, from the model without the steps that leave such runs alone."""
+        text = run if run.isascii() else self.bytes_as_text.pre_tokenize_str(run)[0][0]
+        return [token.id for token in self.tokenizer.model.tokenize(text)]
+
+    def _of_others(self, pieces: list[str]) -> list[list[int]]:
+        """Ids of each piece, many pieces to a call, parted by a mark of one id."""
+        found = []
+        for i in range(0, len(pieces), 4096):
+            part = pieces[i : i + 4096]
+            if self.mark is not None and not any(_SENTINEL in p for p in part):
+                joined = self.tokenizer.encode(f" {_SENTINEL} ".join(part), add_special_tokens=False)
+                got = np.array(joined.ids, np.uint32)
+                marks = np.flatnonzero(got == self.mark)
+                if len(marks) == len(part) - 1:
+                    found += [ids[k > 0 :].tolist() for k, ids in enumerate(np.split(got, marks))]
+                    continue
+            # a piece holds the mark, or holds it in another guise
+            found += [self.tokenizer.encode(p, add_special_tokens=False).ids for p in part]
+        return found
+
+    def _learn(self) -> None:
+        """Take in the ids of the pieces noted as new."""
+        new, self.place.new = self.place.new, []
+        direct = [self.plain_letters and _LETTER_RUN.fullmatch(p) is not None and p == p.lower() for p in new]
+        others = iter(self._of_others([p for p, letters in zip(new, direct) if not letters]))
+        found = [self._of_letters(p) if letters else next(others) for p, letters in zip(new, direct)]
+        self.ids = np.concatenate([self.ids, np.fromiter(chain.from_iterable(found), np.uint32)])
+        self.lengths = np.concatenate([self.lengths, np.fromiter(map(len, found), np.int64, len(found))])
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """All ids one after another, with the end id after each text, and their number by text."""
         if len(self.place) > CACHE_PIECES:
             self.forget()
         split = [_pieces(text) for text in texts]
-        new = set().union(*split) - self.place.keys()
-        if new:
-            self._learn(sorted(new))
-        firsts = np.cumsum(self.lengths) - self.lengths
         n_words = np.array([len(words) for words in split], np.int64)
         every = map(self.place.__getitem__, chain.from_iterable(split))
         which = np.fromiter(every, np.int64, int(n_words.sum()))
+        if self.place.new:
+            self._learn()
+        firsts = np.cumsum(self.lengths) - self.lengths
         # The end of each text is one more piece of one id.
         ends = np.cumsum(n_words) + np.arange(len(texts))
         length, start = np.ones(len(which) + len(texts), np.int64), np.zeros(len(which) + len(texts), np.int64)
