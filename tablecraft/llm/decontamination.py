@@ -6,7 +6,8 @@ document has as many words as the item that it is compared with.
 1. A window that is similar to an item shares a shingle with it, so only windows that put a
    shared shingle at its place in the item are looked at; this loses nothing. The shingles
    of the items are broadcast if their number is at most ``broadcast_shingles``, else joined
-   by a shuffle.
+   by a shuffle. Bitmaps of the documents with hits keep the other texts out of the shuffle
+   that brings texts and windows together.
 2. Windows and items get a SimHash of 256 bits, each shingle weighted by its occurrences.
 3. Fingerprints are cut into 32 blocks of 8 bits. Two of a distance of at most 63 differ by
    at most one bit in some block, so items enter an index under each block and its eight
@@ -34,6 +35,9 @@ WIDTH = 5
 THRESHOLD = 0.8
 RADIUS = 63
 BROADCAST_SHINGLES = 200_000
+#: Bitmaps of 4,096 bytes each that tell which texts are needed again: 16 MB at every size.
+FILTER_BITMAPS = 4096
+_BITS = 32_768
 _SPACE = r"[\x20\x09-\x0D]+"
 
 
@@ -103,6 +107,24 @@ def occurrences(hashes: Column) -> Column:
     )
 
 
+def _bitmap_place(row: Column) -> tuple[Column, Column]:
+    """Bitmap and bit of a row's hash."""
+    return F.pmod(row, F.lit(FILTER_BITMAPS)), F.pmod(F.shiftrightunsigned(row, 24), F.lit(_BITS))
+
+
+def _perhaps_hit(rows: DataFrame, hits: DataFrame) -> DataFrame:
+    """All rows that have hits and few others, so that other texts are not shuffled.
+
+    Beyond some hundred million hit rows the bits fill up and more rows pass; the join that
+    follows decides in any case.
+    """
+    bitmap, bit = _bitmap_place(F.col("row"))
+    bits = hits.select(bitmap.alias("bitmap"), bit.alias("bit")).groupBy("bitmap").agg(F.bitmap_construct_agg("bit").alias("bits"))
+    byte = F.conv(F.hex(F.substring(F.col("bits"), (F.floor(bit / 8) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
+    is_set = F.call_function("shiftright", byte, (bit % 8).cast("int")).bitwiseAND(F.lit(1)) == 1
+    return rows.withColumn("bitmap", bitmap).join(F.broadcast(bits), "bitmap").where(is_set).select(*rows.columns)
+
+
 def matches(
     docs: DataFrame,
     items: DataFrame,
@@ -127,7 +149,7 @@ def matches(
 
     # One row per document that has hits, with the windows wanted from it.
     wanted = hits.groupBy("row").agg(F.collect_set(F.struct("item", "start")).alias("windows"))
-    held = rows.join(wanted, "row").dropDuplicates(["row"])
+    held = _perhaps_hit(rows, hits).join(wanted, "row").dropDuplicates(["row"])
     held = held.select("doc_id", "body", shingle_hashes(F.col("text")).alias("all"), F.explode("windows").alias("w"))
     windows = held.join(known.drop("item_id").withColumnRenamed("hashes", "own"), F.col("w.item") == F.col("item"))
     windows = windows.where(F.col("w.start") + F.size("own") <= F.size("all")).select(
