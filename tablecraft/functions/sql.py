@@ -12,12 +12,16 @@ from pyspark.sql import SparkSession
 from tablecraft import fixed_values as fixed
 
 
+def _quoted(value: str) -> str:
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
 def _list(values: Sequence[str]) -> str:
-    return ", ".join("'" + value.replace("'", "\\'") + "'" for value in values)
+    return ", ".join(map(_quoted, values))
 
 
 def _starts(name: str, prefixes: Sequence[str]) -> str:
-    return " OR ".join(f"startswith({name}, '{prefix}')" for prefix in prefixes)
+    return " OR ".join(f"startswith({name}, {_quoted(prefix)})" for prefix in prefixes)
 
 
 def register_sql_functions(
@@ -30,7 +34,7 @@ def register_sql_functions(
     bodies = {
         "has_passed(grade STRING, subject STRING) RETURNS BOOLEAN": f"""
             CASE WHEN grade IS NULL OR subject IS NULL THEN NULL
-                 WHEN subject = '{strict_subject}' THEN {_starts("grade", strict_grades)}
+                 WHEN subject = {_quoted(strict_subject)} THEN {_starts("grade", strict_grades)}
                  ELSE {_starts("grade", grades)} END""",
         "month_num(name STRING) RETURNS INT": f"""
             cast(nullif(array_position(array({_list(fixed.MONTH_NAMES)}), name), 0) AS INT)""",

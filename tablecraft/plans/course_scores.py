@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tablecraft.functions import completion_score
@@ -17,13 +17,23 @@ def viewed_pairs(views: DataFrame, sentinel_user: int | None = None) -> DataFram
     return pairs.distinct()
 
 
-def _known_course(on_unknown: str) -> tuple[str, Column]:
+def _placed(pairs: DataFrame, chapters: DataFrame, on_unknown: str, salts: int | None) -> DataFrame:
+    """Pairs beside their chapter's columns.
+
+    A chapter that is not listed fails the job or drops its views. The check is a filter, so
+    it holds whatever is selected later; a listed chapter may have a null course. The course
+    depends on it too: else a later inner join on the course would remove unknown chapters
+    before they are seen.
+    """
     if on_unknown == "drop":
-        return "inner", F.col("course_id")
-    if on_unknown == "error":
-        message = F.concat(F.lit("view of an unknown chapter: "), F.col("chapter_id").cast("string"))
-        return "left", F.coalesce(F.col("course_id"), F.raise_error(message).cast("int"))
-    raise ValueError(f"on_unknown must be 'error' or 'drop', not {on_unknown!r}")
+        return lookup(pairs, chapters, "chapter_id", "inner", salts)
+    if on_unknown != "error":
+        raise ValueError(f"on_unknown must be 'error' or 'drop', not {on_unknown!r}")
+    chapter = F.coalesce(F.col("chapter_id").cast("string"), F.lit("null"))
+    message = F.concat(F.lit("view of an unknown chapter: "), chapter)
+    placed = lookup(pairs, chapters.withColumn("_known", F.lit(True)), "chapter_id", "left", salts)
+    known = F.coalesce("_known", F.raise_error(message).cast("boolean"))
+    return placed.filter(known).withColumn("course_id", F.when(known, F.col("course_id"))).drop("_known")
 
 
 def course_sizes(chapters: DataFrame) -> DataFrame:
@@ -43,12 +53,9 @@ def chapter_views(
     consists of, so that a chapter with most of the views can be broadcast or split.
     With ``sentinel_user`` that id stands for the missing viewer.
     """
-    how, course = _known_course(on_unknown)
     pairs = views.select("user_id", "chapter_id").distinct()
-    viewed = lookup(pairs, chapters, "chapter_id", how, salts).select(
-        "chapter_id", course.alias("course_id"), "user_id"
-    )
-    seen = views.select("chapter_id").distinct()
+    viewed = _placed(pairs, chapters, on_unknown, salts).select("chapter_id", "course_id", "user_id")
+    seen = pairs.select("chapter_id").distinct()
     unviewed = chapters.join(seen, "chapter_id", "left_anti").select(
         "chapter_id", "course_id", F.lit(None).cast(views.schema["user_id"].dataType).alias("user_id")
     )
@@ -69,10 +76,11 @@ def user_progress(
 
     The course size is put on the chapter list first, so the views meet one lookup only.
     """
-    how, course = _known_course(on_unknown)
-    sized = chapters.join(course_sizes(chapters), "course_id")
-    placed = lookup(viewed_pairs(views, sentinel_user), sized, "chapter_id", how, salts)
-    return placed.groupBy(course.alias("course_id"), "user_id").agg(
+    sizes = course_sizes(chapters).withColumnRenamed("course_id", "_course")
+    same = F.col("course_id").eqNullSafe(F.col("_course"))
+    sized = chapters.join(sizes, same).drop("_course")
+    placed = _placed(viewed_pairs(views, sentinel_user), sized, on_unknown, salts)
+    return placed.groupBy("course_id", "user_id").agg(
         F.count(F.lit(1)).alias("viewed"), F.max("chapters").alias("chapters")
     )
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 Paths = str | Sequence[str]
@@ -23,26 +24,33 @@ def text_lines(spark: SparkSession, paths: Paths) -> DataFrame:
     return spark.read.text(_paths(paths))
 
 
-def positional_csv(spark: SparkSession, paths: Paths, columns: str | StructType) -> DataFrame:
+def positional_csv(
+    spark: SparkSession, paths: Paths, columns: str | StructType, required: Sequence[str] = ()
+) -> DataFrame:
     """Comma file without a header, typed by position.
 
-    A value that does not parse, or a row with more fields than ``columns``, fails
-    the read. Quotes are plain characters and spaces are kept.
+    A value that does not parse, a row with more or fewer fields than ``columns``, or a blank
+    value of a ``required`` column fails the read, whatever columns are selected
+    later. Quotes are plain characters and spaces are kept.
     """
-    reader = spark.read.schema(columns).option("quote", "")
-    return reader.csv(_paths(paths), header=False, mode="FAILFAST")
+    reader = spark.read.schema(columns).option("quote", "").option("columnPruning", False)
+    rows = reader.csv(_paths(paths), header=False, mode="FAILFAST")
+    for name in required:
+        missing = F.raise_error(F.lit(f"blank value of {name}")).cast("boolean")
+        rows = rows.filter(F.when(F.col(name).isNotNull(), True).otherwise(missing))
+    return rows
 
 
 def read_views(spark: SparkSession, paths: Paths) -> DataFrame:
-    return positional_csv(spark, paths, VIEW_COLUMNS).select("user_id", "chapter_id")
+    return positional_csv(spark, paths, VIEW_COLUMNS, ["user_id", "chapter_id"]).select("user_id", "chapter_id")
 
 
 def read_chapters(spark: SparkSession, paths: Paths) -> DataFrame:
-    return positional_csv(spark, paths, CHAPTER_COLUMNS)
+    return positional_csv(spark, paths, CHAPTER_COLUMNS, ["chapter_id", "course_id"])
 
 
 def read_titles(spark: SparkSession, paths: Paths) -> DataFrame:
-    return positional_csv(spark, paths, TITLE_COLUMNS)
+    return positional_csv(spark, paths, TITLE_COLUMNS, ["course_id", "title"])
 
 
 def headered_csv(

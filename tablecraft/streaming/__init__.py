@@ -1,7 +1,7 @@
 """Live reports: event-time windows, enrichment, sinks and the start of a query."""
 
 from tablecraft.streaming.enrich import course_names, name_views, timed_views
-from tablecraft.streaming.reports import ranked_views, sliding_report, tumbling_report, view_records
+from tablecraft.streaming.reports import ranked_report, ranked_views, sliding_report, tumbling_report, view_records
 from tablecraft.streaming.sinks import (
     batch_table, console, latest_rows, read_batches, run_to_table, start_stream,
 )
@@ -11,7 +11,7 @@ from tablecraft.streaming.windows import (
 
 __all__ = [
     "course_names", "name_views", "timed_views",
-    "ranked_views", "sliding_report", "tumbling_report", "view_records",
+    "ranked_report", "ranked_views", "sliding_report", "tumbling_report", "view_records",
     "batch_table", "console", "latest_rows", "read_batches", "run_to_table", "start_stream",
     "event_time", "flat_window", "sliding_views", "tumbling_views", "tumbling_views_sql",
 ]

@@ -1,4 +1,4 @@
-"""Where streams go. Every query has a checkpoint, so a restart neither loses nor repeats rows."""
+"""Where streams go. Every query names its checkpoint, so a restart neither loses nor repeats rows."""
 
 from __future__ import annotations
 
@@ -30,15 +30,19 @@ def start_stream(
     available_now: bool = False,
     name: str | None = None,
     per_batch: bool = False,
+    throwaway: bool = False,
 ) -> StreamingQuery:
     """Start a query.
 
     ``sink`` is a format name, a function that configures the writer, or with
-    ``per_batch`` a function called with each micro-batch. Without ``checkpoint`` a new
-    folder below the shared folder is used; pass one to resume after a restart.
+    ``per_batch`` a function called with each micro-batch. ``checkpoint`` is required:
+    a query that starts again with it goes on where it was. Only with ``throwaway``, for a
+    query that is never started again, a new folder below the shared folder is used.
     ``available_now`` processes what is there and stops; else a batch starts every
     ``interval``, or at once after the last if that is None.
     """
+    if checkpoint is None and not throwaway:
+        raise ValueError("name a checkpoint folder, or set throwaway for a query that never restarts")
     writer = frame.writeStream.outputMode(mode)
     if per_batch:
         writer = writer.foreachBatch(sink)
@@ -79,8 +83,7 @@ def read_batches(spark: SparkSession, folder: str, schema: StructType) -> DataFr
 def latest_rows(batches: DataFrame, keys: Sequence[str]) -> DataFrame:
     """The last version of every key of an update-mode table."""
     values = [name for name in batches.columns if name not in (*keys, "batch_id")]
-    newest = batches.groupBy(*keys).agg(F.max_by(F.struct(*values), "batch_id").alias("_newest"))
-    return newest.select(*keys, "_newest.*")
+    return batches.groupBy(*keys).agg(*[F.max_by(value, "batch_id").alias(value) for value in values])
 
 
 def run_to_table(
@@ -94,14 +97,16 @@ def run_to_table(
     """Run a stream over what is available now and read back the table it wrote.
 
     ``schema`` is that of the prepared rows if ``prepare`` changes it. An empty part
-    makes the table readable even if no batch has run.
+    makes the table readable even if no batch has run. The checkpoint lies in ``folder``
+    unless named, so a later run into the same folder goes on and replaces no earlier part.
+    In append mode, windows that the watermark has not yet closed are not in the table.
     """
     spark = frame.sparkSession
     folder = folder or new_folder(spark, "batches")
     schema = schema or frame.schema
     spark.createDataFrame([], schema).write.mode("overwrite").parquet(f"{folder}/batch_id=-1")
     query = start_stream(
-        frame, batch_table(folder, prepare), mode, checkpoint, available_now=True, per_batch=True
+        frame, batch_table(folder, prepare), mode, checkpoint or f"{folder}/_checkpoint", available_now=True, per_batch=True
     )
     query.awaitTermination()
     return read_batches(spark, folder, schema)

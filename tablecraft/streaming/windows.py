@@ -46,16 +46,18 @@ def tumbling_views_sql(
     time: str = "timestamp",
     name: str = "course_name",
     width: str = fixed.TUMBLING_WINDOW,
+    lateness: str | None = fixed.LATENESS,
     seconds: int = fixed.SECONDS_PER_VIEW,
 ) -> DataFrame:
-    """The same through SQL, without a watermark; records without a course count too."""
+    """The same through SQL; records without a course count too."""
+    timed = event_time(records, time, lateness)
     return records.sparkSession.sql(
         f"""
         SELECT window, `{name}`, sum({seconds}) AS seconds_watched
         FROM {{records}}
         GROUP BY window(`{time}`, '{width}'), `{name}`
         """,
-        records=records,
+        records=timed,
     )
 
 

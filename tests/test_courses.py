@@ -117,3 +117,20 @@ def test_salts_put_a_hot_key_in_many_tasks(spark, set_conf):
     assert rows(exclude(facts, dimension, "chapter_id", salts=8)) == [(None, 1)]
     with pytest.raises(ValueError):
         lookup(facts, dimension, "chapter_id", "full")
+
+
+def test_unknown_chapter_fails_under_any_action(spark):
+    views = spark.createDataFrame([(1, 10), (1, 99)], "user_id int, chapter_id int")
+    chapters = spark.createDataFrame([(10, 1), (11, None)], "chapter_id int, course_id int")
+    seen = cs.chapter_views(views, chapters)
+    for act in (seen.count, seen.select("user_id").collect):
+        with pytest.raises(PySparkException, match="unknown chapter: 99"):
+            act()
+
+
+def test_listed_chapter_without_course_is_not_unknown(spark):
+    views = spark.createDataFrame([(1, 11)], "user_id int, chapter_id int")
+    chapters = spark.createDataFrame([(10, 1), (11, None)], "chapter_id int, course_id int")
+    assert rows(cs.chapter_views(views, chapters)) == rows(
+        spark.createDataFrame([(10, 1, None), (11, None, 1)], "chapter_id int, course_id int, user_id int")
+    )

@@ -80,7 +80,7 @@ def test_complete_stream_equals_batch(spark, tmp_path):
     put(tmp_path / "in", 1, RECORDS[3:])
     for windows in (live.tumbling_views, live.tumbling_views_sql):
         query = live.start_stream(
-            windows(stream(spark, tmp_path / "in")), "memory", "complete", available_now=True, name="complete_views"
+            windows(stream(spark, tmp_path / "in")), "memory", "complete", available_now=True, throwaway=True, name="complete_views"
         )
         query.awaitTermination()
         assert flat(spark.table("complete_views")) == flat(windows(spark.createDataFrame(RECORDS, SCHEMA)))
@@ -96,7 +96,7 @@ def late_input(folder):
 def test_watermark_drops_late_rows_and_closed_state(spark, tmp_path):
     late_input(tmp_path / "in")
     windows = live.tumbling_views(stream(spark, tmp_path / "in"))
-    query = live.start_stream(windows, "memory", "append", available_now=True, name="closed_views")
+    query = live.start_stream(windows, "memory", "append", available_now=True, throwaway=True, name="closed_views")
     query.awaitTermination()
     assert flat(spark.table("closed_views")) == [
         (minute(0), "a", 5), (minute(24), "a", 5), (minute(30), "a", 10)
@@ -112,7 +112,7 @@ def test_update_mode_sends_changed_windows_only(spark, tmp_path):
     query = live.start_stream(
         live.flat_window(live.tumbling_views(stream(spark, tmp_path / "in"))),
         lambda batch, batch_id: sent.append((batch_id, rows(batch.select("window_start", "seconds_watched")))),
-        "update", available_now=True, per_batch=True,
+        "update", available_now=True, per_batch=True, throwaway=True,
     )
     query.awaitTermination()
     changed = [batch for _, batch in sorted(sent) if batch]
@@ -131,14 +131,14 @@ def test_window_keeps_the_watermark(spark, tmp_path):
     lost = records.groupBy(F.window(F.col("timestamp").alias("other"), "2 minutes")).count()
     assert "spark.watermarkDelayMs" not in lost.schema["window"].metadata
     with pytest.raises(AnalysisException):
-        live.start_stream(lost, "memory", "append", available_now=True, name="lost")
+        live.start_stream(lost, "memory", "append", available_now=True, throwaway=True, name="lost")
 
 
 def test_sorting_an_update_stream_is_refused(spark, tmp_path):
     put(tmp_path / "in", 0, RECORDS)
     ordered = live.tumbling_views(stream(spark, tmp_path / "in")).orderBy("seconds_watched")
     with pytest.raises(AnalysisException):
-        live.start_stream(ordered, "memory", "update", available_now=True, name="ordered")
+        live.start_stream(ordered, "memory", "update", available_now=True, throwaway=True, name="ordered")
 
 
 def test_restart_neither_loses_nor_repeats(spark, tmp_path):
@@ -155,6 +155,32 @@ def test_restart_neither_loses_nor_repeats(spark, tmp_path):
     assert rows(live.latest_rows(live.run_to_table(windows, "update", checkpoint=checkpoint, folder=folder), keys)) == rows(expected)
 
 
+def test_a_stream_needs_a_checkpoint(spark, tmp_path):
+    put(tmp_path / "in", 0, RECORDS)
+    with pytest.raises(ValueError, match="checkpoint"):
+        live.start_stream(live.tumbling_views(stream(spark, tmp_path / "in")))
+
+
+def test_a_second_run_into_a_folder_keeps_the_first(spark, tmp_path):
+    source, folder = tmp_path / "in", str(tmp_path / "out")
+    put(source, 0, [(at(0), "a")])
+    assert live.run_to_table(stream(spark, source), "append", folder=folder).count() == 1
+    put(source, 1, [(at(1), "b")])
+    table = live.run_to_table(stream(spark, source), "append", folder=folder)
+    assert sorted(r.course_name for r in table.collect()) == ["a", "b"]
+
+
+def test_ranked_report_ranks_whole_windows_over_batches(spark, tmp_path):
+    source, folder = tmp_path / "in", str(tmp_path / "out")
+    put(source, 0, [(at(0), "a"), (at(0), "a"), (at(0), "b")])
+    put(source, 1, [(at(0), "b"), (at(0), "b")])
+    put(source, 2, [(at(300), "z")])
+    messages = stream(spark, source).select(F.col("course_name").cast("binary").alias("value"), "timestamp")
+    live.ranked_report(messages, folder, available_now=True).awaitTermination()
+    ranked = spark.read.parquet(folder).select("course_name", "seconds_watched", "rank").distinct()
+    assert rows(ranked) == [("a", 10, 2), ("b", 15, 1)]
+
+
 def test_batch_written_twice_counts_once(spark, tmp_path):
     write = live.batch_table(str(tmp_path / "out"))
     frame = spark.createDataFrame([(1, "a")], "k int, v string")
@@ -183,7 +209,7 @@ def test_ranked_batches(spark, tmp_path):
 
 def test_console_and_interval(spark, tmp_path):
     put(tmp_path / "in", 0, RECORDS)
-    query = live.start_stream(live.tumbling_views(stream(spark, tmp_path / "in")))
+    query = live.start_stream(live.tumbling_views(stream(spark, tmp_path / "in")), throwaway=True)
     query.processAllAvailable()
     assert query.lastProgress is not None
     query.stop()
