@@ -1,23 +1,20 @@
 """Benchmark passages in documents, by SimHash windows, as DataFrame operations only.
 
 Words are lower-cased runs without white space; shingles are ``WIDTH`` words. A window of a
-document has as many words as the item that it is compared with.
-
-1. A window that is similar to an item shares a shingle with it, so only windows that put a
-   shared shingle at its place in the item are looked at; this loses nothing. The shingles
-   of the items are broadcast if their number is at most ``broadcast_shingles``, else joined
-   by a shuffle. Bitmaps of the documents with hits keep the other texts out of the shuffle
-   that brings texts and windows together.
-2. Windows and items get a SimHash of 256 bits, each shingle weighted by its occurrences.
-3. Fingerprints are cut into 32 blocks of 8 bits. Two of a distance of at most 63 differ by
-   at most one bit in some block, so items enter an index under each block and its eight
-   neighbours, and every pair within the radius meets there.
-4. Pairs within the radius are verified by the exact weighted Jaccard similarity
-   (sum of least occurrences / sum of greatest), and the best window of each document and
-   item is kept if it reaches the threshold.
-
-At a similarity of 0.8 the distance has a mean of 39 and a deviation below 6 bits, so the
-radius of 63 misses about one pair in 100,000 there, fewer above.
+document has as many words as the item that it is compared with; a document of fewer words is
+one window.
+
+1. Windows and items that have a weighted Jaccard similarity of ``THRESHOLD`` hold a known
+   number of equal shingles, so all windows are looked at that hold so many shingles of the
+   item, wherever they stand; this loses nothing. The shingles of the items are broadcast if
+   their number is at most ``broadcast_shingles``, else joined by a shuffle. Bitmaps of the
+   documents with such windows keep the other texts out of the shuffle that brings texts and
+   windows together.
+2. Windows and items get a SimHash of 256 bits, each shingle weighted by its occurrences. Its
+   distance is told and decides nothing: short windows exceed any radius at times.
+3. Pairs are verified by the exact weighted Jaccard similarity (sum of least occurrences / sum
+   of greatest), and the best window of each document and item is kept if it reaches the
+   threshold.
 
 Defined results: null and empty texts match nothing, nor do items of fewer than ``WIDTH``
 words. Rows that repeat give one result. A null id comes back as null. Items that repeat are
@@ -33,7 +30,6 @@ from tablecraft.shared import settled
 
 WIDTH = 5
 THRESHOLD = 0.8
-RADIUS = 63
 BROADCAST_SHINGLES = 200_000
 #: Bitmaps of 4,096 bytes each that tell which texts are needed again: 16 MB at every size.
 FILTER_BITMAPS = 4096
@@ -90,15 +86,6 @@ def fingerprint(hashes: Column) -> Column:
     return F.array(*[long_of(k) for k in range(4)])
 
 
-def _blocks(print_: Column) -> Column:
-    return F.array(
-        *[
-            F.shiftrightunsigned(print_[i // 8], 8 * (i % 8)).bitwiseAND(F.lit(255)).cast("int") + F.lit(i * 256)
-            for i in range(32)
-        ]
-    )
-
-
 def occurrences(hashes: Column) -> Column:
     """Each hash joined with the number of equal ones before it: a set that keeps weights."""
     return F.transform(
@@ -107,6 +94,26 @@ def occurrences(hashes: Column) -> Column:
     )
 
 
+def _starts(threshold: float) -> Column:
+    """Starts of all windows that hold as many ``places`` as the threshold asks for at least.
+
+    Sizes n and n_window of a similarity t have t / (1 + t) * (n + n_window) in common.
+    """
+    least = F.ceil(F.lit(threshold / (1 + threshold)) * (F.col("n") + F.col("n_window")) - 1e-9).cast("int")
+
+    def around(need: Column) -> Column:
+        def starts(i: Column) -> Column:
+            first, last = F.get("places", i), F.get("places", i + need - 1)
+            after = F.greatest(F.lit(0), last - F.col("n_window") + 1)
+            span = F.sequence(after, F.least(first, F.col("n_all") - F.col("n_window")))
+            return F.when(last - first < F.col("n_window"), span).otherwise(F.array().cast("array<int>"))
+
+        return F.array_distinct(F.flatten(F.transform(F.sequence(F.lit(0), F.size("places") - need), starts)))
+
+    some = F.size("places") >= least
+    return F.when(some, _let(F.greatest(least, F.lit(1)), around)).otherwise(F.array().cast("array<int>"))
+
+
 def _bitmap_place(row: Column) -> tuple[Column, Column]:
     """Bitmap and bit of a row's hash."""
     return F.pmod(row, F.lit(FILTER_BITMAPS)), F.pmod(F.shiftrightunsigned(row, 24), F.lit(_BITS))
@@ -140,54 +147,53 @@ def matches(
         .where(F.size("hashes") > 0),
         "items",
     )
-    placed = settled(known.select("item", F.size("hashes").alias("n"), F.posexplode("hashes").alias("at", "hash")), "placed")
+    placed = known.select("item", F.size("hashes").alias("n"), F.explode(F.array_distinct("hashes")).alias("hash"))
+    placed = settled(placed, "placed")
     small = placed.count() <= broadcast_shingles
     lookup = F.broadcast(placed) if small else placed
-    spots = rows.select("row", F.posexplode(shingle_hashes(F.col("text"))).alias("pos", "hash"))
-    hits = spots.join(lookup, "hash").where("pos >= at").select("row", "item", (F.col("pos") - F.col("at")).alias("start"))
-    hits = settled(hits.distinct(), "hits")
+    shingled = rows.select("row", shingle_hashes(F.col("text")).alias("all")).withColumn("n_all", F.size("all"))
+    spots = shingled.select("row", "n_all", F.posexplode("all").alias("pos", "hash"))
+    hits = spots.join(lookup, "hash").groupBy("row", "item", "n", "n_all").agg(F.array_sort(F.collect_set("pos")).alias("places"))
+    hits = hits.withColumn("n_window", F.least("n", "n_all"))
+    hits = hits.select("row", "item", "n_window", _starts(threshold).alias("starts")).where(F.size("starts") > 0)
+    hits = settled(hits, "hits")
 
     # One row per document that has hits, with the windows wanted from it.
-    wanted = hits.groupBy("row").agg(F.collect_set(F.struct("item", "start")).alias("windows"))
+    wanted = hits.groupBy("row").agg(F.collect_list(F.struct("item", "n_window", "starts")).alias("wanted"))
     held = _perhaps_hit(rows, hits).join(wanted, "row").dropDuplicates(["row"])
-    held = held.select("doc_id", "body", shingle_hashes(F.col("text")).alias("all"), F.explode("windows").alias("w"))
-    windows = held.join(known.drop("item_id").withColumnRenamed("hashes", "own"), F.col("w.item") == F.col("item"))
-    windows = windows.where(F.col("w.start") + F.size("own") <= F.size("all")).select(
-        "doc_id", "body", "item", F.col("w.start").alias("start"), F.slice("all", F.col("w.start") + 1, F.size("own")).alias("hashes")
-    )
-    windows = windows.withColumn("window", F.xxhash64("doc_id", "body", "item", "start"))
+    held = held.select("doc_id", "body", shingle_hashes(F.col("text")).alias("all"), "wanted")
+
+    def cut(w: Column) -> Column:
+        return F.transform(
+            w["starts"],
+            lambda s: F.struct(w["item"].alias("item"), s.alias("start"), F.slice("all", s + 1, w["n_window"]).alias("hashes")),
+        )
+
+    windows = held.select("doc_id", "body", F.explode(F.flatten(F.transform("wanted", cut))).alias("w")).select("doc_id", "body", "w.*")
     windows = settled(windows.withColumn("print", fingerprint(F.col("hashes"))), "windows")
 
     own = known.select("item", "item_id", F.col("hashes").alias("own"), fingerprint(F.col("hashes")).alias("own_print"))
     own = settled(own, "prints")
-    near = F.array(F.lit(0), *[F.lit(1 << b) for b in range(8)])
-    index = own.select("item", F.explode(_blocks(F.col("own_print"))).alias("b")).select(
-        "item", F.explode(F.transform(near, lambda flip: F.col("b").bitwiseXOR(flip))).alias("block")
-    )
-    looked = windows.select("window", "item", F.explode(_blocks(F.col("print"))).alias("block"))
-    within = looked.join(index, ["item", "block"]).select("window").distinct()
     distance = sum((F.bit_count(F.col("print")[k].bitwiseXOR(F.col("own_print")[k])) for k in range(1, 4)),
                    F.bit_count(F.col("print")[0].bitwiseXOR(F.col("own_print")[0])))
     common = F.size(F.array_intersect(occurrences(F.col("hashes")), occurrences(F.col("own"))))
     checked = (
-        windows.join(within, "window", "left_semi")
-        .join(own, "item")
+        windows.join(own, "item")
         .withColumn("distance", distance)
-        .where(F.col("distance") <= RADIUS)
         .withColumn("similarity", common / (F.size("hashes") + F.size("own") - common))
         .where(F.col("similarity") >= threshold)
+        .withColumn("n_words", F.size("hashes") + WIDTH - 1)
     )
-    best = F.max(F.struct("similarity", (-F.col("start")).alias("back"), "distance")).alias("best")
-    n_words = F.size(F.first("own")) + WIDTH - 1
+    best = F.max(F.struct("similarity", (-F.col("start")).alias("back"), "distance", "n_words")).alias("best")
     return (
         checked.groupBy("doc_id", "body", "item", "item_id")
-        .agg(best, n_words.alias("n_words"))
+        .agg(best)
         .select(
             "doc_id",
             "body",
             "item_id",
             (-F.col("best.back")).alias("start"),
-            "n_words",
+            F.col("best.n_words").alias("n_words"),
             F.col("best.distance").alias("distance"),
             F.col("best.similarity").alias("similarity"),
         )

@@ -164,6 +164,45 @@ def test_decontamination_against_brute_force(odd, odd_rows, items, empty):
     assert {(r.doc_id, r.item_id) for r in shuffled.collect()} == passage
 
 
+def test_decontamination_of_edited_passages_against_brute_force(spark):
+    rng = random.Random(9)
+    width = decontamination.WIDTH
+
+    def shingles(words):
+        return [tuple(words[i : i + width]) for i in range(len(words) - width + 1)]
+
+    def best(text, item):
+        all_, own = shingles(text.split()), Counter(shingles(item.split()))
+        n = sum(own.values())
+        found = []
+        for start in range(max(0, len(all_) - n) + 1):
+            window = Counter(all_[start : start + n])
+            common, total = (window & own).total(), (window | own).total()
+            if window and common / total >= decontamination.THRESHOLD:
+                found.append((common / total, -start, window.total() + width - 1))
+        return max(found, default=None)
+
+    item, long = [rng.choice(WORDS) for _ in range(40)], [f"v{i}" for i in range(120)]
+    other = [rng.choice(WORDS) for _ in range(50)]
+    moved = long[60:] + long[:60]
+    passages = [item[:-1], item[1:], item[:-2], item[2:], item[:20] + ["new"] + item[21:], item[:20] + item[21:], item[:20] + ["new"] + item[20:]]
+    passages += [moved, item, item + item, ["same"] * 30, long[:11], long[:12]]
+    texts = [" ".join(x) for p in passages for x in (p, other + p, p + other, other + p + other)]
+    items = [item, long, ["same"] * 25, long[:12], item[:9], item[5:11]]
+    items = [" ".join(i) for i in items]
+    expected = {}
+    for d, text in enumerate(texts):
+        for i, own in enumerate(items):
+            if (found := best(text, own)) is not None:
+                expected[d, i] = (-found[1], found[2], round(found[0], 9))
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    known = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    for most in (decontamination.BROADCAST_SHINGLES, 0):
+        found = decontamination.matches(docs, known, broadcast_shingles=most).collect()
+        assert {(r.doc_id, r.item_id): (r.start, r.n_words, round(r.similarity, 9)) for r in found} == expected
+        assert len(found) == len(expected)
+
+
 def test_jaccard_groups_against_brute_force(spark, odd, odd_rows, empty):
     rng = random.Random(9)
     rows, base = [], sentence(rng, 90).split()
