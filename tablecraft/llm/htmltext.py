@@ -4,8 +4,9 @@ The pages of a host are merged into one tree: nodes of the same path of tags and
 one element, with counts of its presentations (the sequence of child elements) and contents
 (the text that it holds itself). An element's importance is the entropy of both over the
 pages that have it, divided by the logarithm of their number: 1 if every page differs, 0 if
-all are alike. Elements under ``IMPORTANCE`` on ``LEAST_PAGES`` pages or more are removed
-with all that they hold.
+all are alike. The entropy of all that it holds, its descendants' text included, counts if it is
+greater. Elements under ``IMPORTANCE`` on ``LEAST_PAGES`` pages or more are low; they are removed
+with all that they hold unless that is text of an element that is not low.
 
 Beside that, elements whose tag, class, id or role names a menu, header, footer, sidebar,
 notice, advert, form, comment list or code are removed on any page. Within an article,
@@ -29,7 +30,7 @@ from collections.abc import Iterator
 from html.parser import HTMLParser
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tablecraft.shared import settled
@@ -72,12 +73,18 @@ def _hash(*parts: str | int) -> int:
 
 
 class _Node:
-    __slots__ = ("tag", "path", "gone", "main", "free", "children", "own")
+    __slots__ = ("tag", "path", "gone", "main", "free", "low", "above", "mixed", "children", "own", "whole")
 
-    def __init__(self, tag: str, path: int, gone: bool, main: bool, free: bool):
+    def __init__(self, tag: str, path: int, gone: bool, main: bool, free: bool, low: bool = False, above: _Node | None = None):
         self.tag, self.path, self.gone, self.main, self.free = tag, path, gone, main, free
+        self.low, self.above = low, above  # the nearest low element around it
+        self.mixed = False  # a low element that holds text of one that is not
         self.children: list[str] = []  # signatures, for the presentation
         self.own: list[str] = []  # text, for the content
+        self.whole: list[str | int] = []  # text and hashes of what its children hold
+
+    def near(self) -> _Node | None:
+        return self if self.low else self.above
 
 
 class PageReader(HTMLParser):
@@ -87,27 +94,32 @@ class PageReader(HTMLParser):
         super().__init__(convert_charrefs=True)
         self.low, self.tree = low, tree
         self.stack = [_Node("", 0, False, False, False)]
-        self.buffer: list[str] = []
-        self.blocks: list[tuple[bool, str]] = []
+        self.buffer: list[tuple[_Node | None, str]] = []  # with the low element around it
+        self.blocks: list[tuple[bool, list[tuple[_Node | None, str]]]] = []
         self.records: list[tuple[int, int]] = []
         self.paths: dict[tuple[int, str], int] = {}
-        self.has_main = False
+        self.mains: list[_Node | None] = []  # the low elements around articles
 
     def _flush(self) -> None:
         if self.buffer:
-            text = _SPACE.sub(" ", "".join(self.buffer)).strip()
+            self.blocks.append((self.stack[-1].main, self.buffer))
             self.buffer = []
-            if text:
-                self.blocks.append((self.stack[-1].main, text))
 
     def _pop(self) -> None:
         node = self.stack.pop()
-        if self.tree and not node.free and node.tag not in CODE:
+        if not self.tree or node.tag in CODE:
+            return
+        whole = _hash("whole", *node.whole) & ~1 if node.whole else SEEN
+        if whole and self.stack:
+            self.stack[-1].whole.append(whole)
+        if not node.free:
             self.records.append((node.path, SEEN))
             if node.children:
-                self.records.append((node.path, _hash("style", *node.children)))
+                self.records.append((node.path, _hash("style", *node.children) | 1))
             if node.own and (text := _SPACE.sub(" ", "".join(node.own)).strip()):
-                self.records.append((node.path, _hash("text", text)))
+                self.records.append((node.path, _hash("text", text) | 1))
+            if whole:
+                self.records.append((node.path, whole))
 
     def _pop_to(self, depth: int) -> None:
         if any(node.tag in BLOCKS for node in self.stack[depth:]):
@@ -146,12 +158,13 @@ class PageReader(HTMLParser):
         aside = tag in ASIDE and not (tag == "header" and top.main)
         gone = top.gone or tag in CODE or aside or bool(words & NAMED) and tag not in ("html", "body", "article", "main")
         free = top.main and tag in TEXT or tag in ("html", "body", "article", "main")
-        gone = gone or not free and path in self.low
-        self.has_main |= main and not gone
+        low = not free and path in self.low
+        if tag in ("article", "main") and not gone:
+            self.mains.append(top.near())
         if self.tree:
             top.children.append(signature)
         if tag not in VOID:
-            self.stack.append(_Node(tag, path, gone, main, free))
+            self.stack.append(_Node(tag, path, gone, main, free, low, top.near()))
 
     def handle_startendtag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
         self.handle_starttag(tag, attrs)
@@ -165,9 +178,15 @@ class PageReader(HTMLParser):
     def handle_data(self, data: str) -> None:
         top = self.stack[-1]
         if not top.gone:
-            self.buffer.append(data)
-        if self.tree and not top.free:
-            top.own.append(data)
+            self.buffer.append((top.near(), data))
+            low = None if top.low or top.free else top.above
+            while low is not None and not low.mixed and not data.isspace():
+                low.mixed, low = True, low.above
+        if self.tree:
+            if not top.free:
+                top.own.append(data)
+            if text := _SPACE.sub(" ", data).strip():
+                top.whole.append(text)
 
     def read(self, html: str) -> PageReader:
         self.feed(html)
@@ -177,7 +196,13 @@ class PageReader(HTMLParser):
         return self
 
     def text(self) -> str:
-        return "\n".join(text for main, text in self.blocks if main or not self.has_main)
+        def kept(low: _Node | None) -> bool:
+            return low is None or low.mixed
+
+        has_main = any(map(kept, self.mains))
+        blocks = [block for main, block in self.blocks if main or not has_main]
+        texts = (_SPACE.sub(" ", "".join(data for low, data in block if kept(low))).strip() for block in blocks)
+        return "\n".join(text for text in texts if text)
 
 
 def site_tree(pages: DataFrame) -> DataFrame:
@@ -197,13 +222,19 @@ def site_tree(pages: DataFrame) -> DataFrame:
     counted = pages.where("host IS NOT NULL").select("host", "html").mapInArrow(read, "host string, path long, value long, n long")
     values = counted.groupBy("host", "path", "value").agg(F.sum("n").alias("n"))
     seen, n = F.col("value") == SEEN, F.col("n").cast("double")
+    own, whole = F.col("value") % 2 != 0, (F.col("value") % 2 == 0) & ~seen
     nodes = values.groupBy("host", "path").agg(
         F.sum(F.when(seen, F.col("n"))).alias("n_pages"),
-        F.sum(F.when(~seen, n)).alias("m"),
-        F.sum(F.when(~seen, n * F.log(n))).alias("s"),
+        *[F.sum(F.when(kind, n)).alias(f"m_{name}") for name, kind in (("own", own), ("whole", whole))],
+        *[F.sum(F.when(kind, n * F.log(n))).alias(f"s_{name}") for name, kind in (("own", own), ("whole", whole))],
     )
-    entropy = (F.log("m") - F.col("s") / F.col("m")) / F.log("m")
-    return nodes.select("host", "path", F.when(F.col("m") > 1, entropy).otherwise(1.0).alias("importance"), "n_pages")
+
+    def entropy(name: str) -> Column:
+        m = F.col(f"m_{name}")
+        return F.when(m > 1, (F.log(m) - F.col(f"s_{name}") / m) / F.log(m))
+
+    importance = F.greatest(F.coalesce(entropy("own"), F.lit(1.0)), entropy("whole"))
+    return nodes.select("host", "path", importance.alias("importance"), "n_pages")
 
 
 def main_text(pages: DataFrame, importance: float = IMPORTANCE, least_pages: int = LEAST_PAGES, key: str = "page_id") -> DataFrame:

@@ -265,6 +265,29 @@ def test_main_text(spark):
     assert htmltext.op7_html_text(pages.limit(0)).count() == 0 and htmltext.op7_html_text(pages).count() == len(rows)
 
 
+def test_wrappers_of_varied_text_stay(spark):
+    menu = "<div class='links7'><ul><li>Start</li><li>Shop</li></ul></div>"
+    layouts = {
+        "a": "<div class='wrapper'>{m}<div class='content'>Story {i}</div></div>",
+        "b": "<main><div class='wrap'>{m}<article><h1>Title {i}</h1><p>Story {i}</p></article></div></main>",
+        "c": "<article><h1>Title {i}</h1><div class='fixed7'><p>Same</p></div><ul><li>Story {i}</li></ul><table><tr><td>Cell {i}</td></tr></table></article>",
+        "d": "<div class='same7'>Same {r}</div><div class='content'>Story {i}</div>",
+    }
+    n = 24
+    rows = [
+        (k * 100 + i, f"http://{h}.example/{i}", f"<html><body>{v.format(m=menu, i=i, r=f'<b>Rare {i}</b>' if i < 2 else '')}</body></html>")
+        for k, (h, v) in enumerate(layouts.items())
+        for i in range(n)
+    ]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    found = {r.page_id: r.text for r in htmltext.op7_html_text(pages).collect()}
+    for i in range(n):
+        assert found[i] == f"Story {i}"
+        assert found[100 + i] == f"Title {i}\nStory {i}"
+        assert found[200 + i] == f"Title {i}\nStory {i}\nCell {i}"
+        assert found[300 + i].endswith(f"Story {i}") and ("Same" in found[300 + i]) == (i < 2)
+
+
 def test_line_templates(spark, odd, odd_rows, empty):
     rng = random.Random(4)
     plain = lambda: "".join(rng.choice("abc") for _ in range(12)) + " " + " ".join("".join(rng.choice("abcdefg") for _ in range(9)) for _ in range(8))
