@@ -9,7 +9,9 @@ greater. Elements under ``IMPORTANCE`` on ``LEAST_PAGES`` pages or more are low;
 with all that they hold unless that is text of an element that is not low.
 
 Beside that, elements whose tag, class, id or role names a menu, header, footer, sidebar,
-notice, advert, form, comment list or code are removed on any page. Within an article,
+notice, advert, form, comment list or code are removed on any page. Names that tell of a
+layout (has-sidebar), and headers and widgets of an article's content, are no such names; a
+sidebar or the like around the first article leaves the article. Within an article,
 paragraphs and headings are its text and are left to no statistics; if a page has an article
 or main element, only what it holds is taken.
 
@@ -49,6 +51,12 @@ NAMED = frozenset(
     "pagination popup promo promotion related replies search share sharing sidebar signup skip social sponsor sponsored "
     "subscribe subscription toolbar widget complementary contentinfo alert".split()
 )
+LAYOUT = frozenset("has have no not with without is hide show hidden".split())  # "has-sidebar" is on what stands beside one
+CONTENT = frozenset("article content entry post story".split())  # "article-header", "post-content-widget" hold content
+HOLDS = frozenset("header widget banner masthead".split())
+# Names of what may stand around an article as well; comments and adverts may not.
+AROUND = HOLDS | frozenset("sidebar footer form menu menubar modal dialog nav navbar navigation toolbar widget".split())
+HEAD = frozenset("base basefont bgsound head link meta noscript script style template title".split())
 BLOCKS = frozenset(
     "address article aside blockquote body caption center dd details dialog div dl dt fieldset figcaption figure footer form "
     "h1 h2 h3 h4 h5 h6 header hr html legend li main menu nav ol option p pre section summary table tbody td tfoot th thead tr ul".split()
@@ -66,6 +74,22 @@ CLOSES = {  # an opening tag ends these, up to the nearest of the second set
 _WORD = re.compile(r"[A-Za-z]+")
 _PART = re.compile(r"[A-Z]?[a-z]+")  # of camelCase names
 _SPACE = re.compile(r"\s+")
+_TOKEN = re.compile(r"\S+")
+
+
+def _named(tokens: list[str], in_main: bool) -> set[str]:
+    """Words of classes, ids and roles that name what is no main text."""
+    found: set[str] = set()
+    for token in tokens:
+        names = _WORD.findall(token)
+        parts = [w.lower() for name in names for w in _PART.findall(name)]
+        words = {name.lower() for name in names}.union(parts) & NAMED
+        if words and parts and parts[0] in LAYOUT:
+            continue
+        if in_main or CONTENT.intersection(parts):
+            words -= {"header"} if in_main and not CONTENT.intersection(parts) else HOLDS
+        found |= words
+    return found
 
 
 def _hash(*parts: str | int) -> int:
@@ -73,11 +97,12 @@ def _hash(*parts: str | int) -> int:
 
 
 class _Node:
-    __slots__ = ("tag", "path", "gone", "main", "free", "low", "above", "mixed", "children", "own", "whole")
+    __slots__ = ("tag", "path", "gone", "hard", "main", "free", "low", "above", "mixed", "children", "own", "whole")
 
     def __init__(self, tag: str, path: int, gone: bool, main: bool, free: bool, low: bool = False, above: _Node | None = None):
         self.tag, self.path, self.gone, self.main, self.free = tag, path, gone, main, free
         self.low, self.above = low, above  # the nearest low element around it
+        self.hard = False  # gone, and an article in it as well
         self.mixed = False  # a low element that holds text of one that is not
         self.children: list[str] = []  # signatures, for the presentation
         self.own: list[str] = []  # text, for the content
@@ -127,7 +152,16 @@ class PageReader(HTMLParser):
         while len(self.stack) > depth:
             self._pop()
 
+    def _end_head(self) -> None:
+        """What does not belong to a head ends it, and a noscript in it."""
+        top = len(self.stack) - 1
+        head = top - 1 if self.stack[top].tag == "noscript" else top
+        if head > 0 and self.stack[head].tag == "head":
+            self._pop_to(head)
+
     def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
+        if tag not in HEAD:
+            self._end_head()
         if tag in BLOCKS:
             self._flush()
             for depth in range(len(self.stack) - 1, 0, -1):  # a block ends an open paragraph
@@ -146,18 +180,22 @@ class PageReader(HTMLParser):
             self.handle_data(" ")
         top = self.stack[-1]
         names: list[str] = []
+        tokens: list[str] = []
         for key, value in attrs:
             if key in ("class", "id", "role") and value:
                 names += _WORD.findall(value)
-        words = {w.lower() for name in names for w in (name, *_PART.findall(name))}
+                tokens += _TOKEN.findall(value)
+        whole = tag in ("html", "body", "article", "main")
+        words = set() if whole else _named(tokens, top.main)
         signature = ".".join([tag, *sorted(names)])
         path = self.paths.get((top.path, signature))
         if path is None:
             path = self.paths[top.path, signature] = _hash(top.path, signature)
         main = top.main or tag in ("article", "main")
         aside = tag in ASIDE and not (tag == "header" and top.main)
-        gone = top.gone or tag in CODE or aside or bool(words & NAMED) and tag not in ("html", "body", "article", "main")
-        free = top.main and tag in TEXT or tag in ("html", "body", "article", "main")
+        hard = top.hard or tag in CODE or aside or bool(words - AROUND)
+        gone = hard or bool(words) or top.gone and not (tag in ("article", "main") and not self.mains)
+        free = top.main and tag in TEXT or whole
         low = not free and path in self.low
         if tag in ("article", "main") and not gone:
             self.mains.append(top.near())
@@ -165,6 +203,7 @@ class PageReader(HTMLParser):
             top.children.append(signature)
         if tag not in VOID:
             self.stack.append(_Node(tag, path, gone, main, free, low, top.near()))
+            self.stack[-1].hard = hard
 
     def handle_startendtag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
         self.handle_starttag(tag, attrs)
@@ -176,6 +215,8 @@ class PageReader(HTMLParser):
                 return
 
     def handle_data(self, data: str) -> None:
+        if self.stack[-1].tag == "head" and not data.isspace():
+            self._end_head()
         top = self.stack[-1]
         if not top.gone:
             self.buffer.append((top.near(), data))

@@ -288,6 +288,26 @@ def test_wrappers_of_varied_text_stay(spark):
         assert found[300 + i].endswith(f"Story {i}") and ("Same" in found[300 + i]) == (i < 2)
 
 
+def test_open_heads_and_layout_names():
+    def text(html):
+        return htmltext.PageReader().read(html).text()
+
+    for head in ("<head><title>T</title>", "<head><title>T</title><noscript><link rel='x'></noscript>", "<head><meta charset='x'>"):
+        assert text(f"<html>{head}<body><p>Story</p></body></html>") == "Story"
+        assert text(f"<html>{head}<p>Story</p></html>") == "Story"
+        assert text(f"<html>{head}Story</html>") == "Story"
+        assert text(f"<html>{head}</head><body>Story</body></html>") == "Story"
+    for name in ("has-sidebar", "no-sidebar", "with-header", "post-content-widget", "hasSidebar", "main no-sidebar"):
+        assert text(f"<body><div class='{name}'><p>Story</p></div></body>") == "Story"
+    assert text("<article><div class='article-header'><h1>Title</h1></div><p>Story</p></article>") == "Title\nStory"
+    assert text("<article><div class='header'><h1>Title</h1></div><p>Story</p></article>") == "Title\nStory"
+    assert text("<div class='sidebar-page'>Aside<article><p>Story</p></article></div>") == "Story"
+    for name in ("sidebar", "sidebar-left", "site-header", "comment-list", "post-comments", "entry-footer", "cookieBanner", "share-buttons", "has-x sidebar"):
+        assert text(f"<body><div class='{name}'>Other</div><p>Story</p></body>") == "Story"
+    assert text("<body><p>Story</p><ol class='comments'><li><article>Reader</article></ol></body>") == "Story"
+    assert text("<nav><article>Teaser</article></nav><p>Story</p>") == "Story"
+
+
 def test_line_templates(spark, odd, odd_rows, empty):
     rng = random.Random(4)
     plain = lambda: "".join(rng.choice("abc") for _ in range(12)) + " " + " ".join("".join(rng.choice("abcdefg") for _ in range(9)) for _ in range(8))
