@@ -108,8 +108,8 @@ class Block:
         return start, end, text
 
 
-def blocks(texts: pa.Array, limit: int = BLOCK_BYTES) -> Iterator[Block]:
-    """Blocks of an Arrow string array; null texts are empty."""
+def blocks(texts: pa.Array, limit: int = BLOCK_BYTES, table: np.ndarray | None = None) -> Iterator[Block]:
+    """Blocks of an Arrow string array; null texts are empty. ``table`` maps each byte first."""
     if isinstance(texts, pa.ChunkedArray):
         texts = texts.combine_chunks()
     texts = texts.cast(pa.large_string()).fill_null("")
@@ -119,7 +119,8 @@ def blocks(texts: pa.Array, limit: int = BLOCK_BYTES) -> Iterator[Block]:
     while i < len(texts):
         j = max(i + 1, int(np.searchsorted(offsets, offsets[i] + limit, "right")) - 1)
         j = min(j, len(texts))
-        yield Block(data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i], i)
+        part = data[offsets[i] : offsets[j]]
+        yield Block(part if table is None else table[part], offsets[i : j + 1] - offsets[i], i)
         i = j
 
 
