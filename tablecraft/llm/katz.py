@@ -39,7 +39,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tablecraft.llm.packing import pack, pack_rising, runs, unpack, unpack_rising
+from tablecraft.llm.packing import arrow_table, pack, pack_rising, runs, unpack, unpack_rising
 from tablecraft.llm.textblocks import blocks, mix
 from tablecraft.shared import settled
 
@@ -60,12 +60,6 @@ _START = 1  # number of the mark before the first word
 _ANSWER = "block long, kind string, part int, a binary, b binary, c binary"
 
 
-def _table(schema: str, rows: list[dict]) -> pa.Table:
-    kinds = {"int": pa.int32(), "long": pa.int64(), "string": pa.string(), "binary": pa.binary(), "double": pa.float64(), "boolean": pa.bool_(), "array<long>": pa.list_(pa.int64())}
-    fields = pa.schema([(name, kinds[kind]) for name, kind in (c.split(" ") for c in schema.split(", "))])
-    return pa.Table.from_pylist(rows, schema=fields)
-
-
 # ---- 1: blocks of texts ---------------------------------------------------------------
 
 _BLOCKS = "block long, part int, keys binary, locals binary, trained binary, doc_ids binary, nulls binary, held binary, lengths binary, tokens binary, n_trained long"
@@ -116,7 +110,7 @@ def _block_rows(docs: DataFrame, key: str, text: str, parts: int) -> DataFrame:
                 order = np.argsort(part, kind="stable")
                 for mine in np.split(order, runs(part[order])[1:]):
                     rows.append({"block": block, "part": int(part[mine[0]]), "keys": words[mine].astype("<u8").tobytes(), "locals": pack_rising(mine), "trained": pack(trained[mine])})
-                yield from _table(_BLOCKS, rows).to_batches()
+                yield from arrow_table(_BLOCKS, rows).to_batches()
                 block += 1
 
     crc = F.crc32(F.coalesce(F.col(key).cast("string"), F.lit("")))
@@ -154,7 +148,7 @@ def _words(rows: DataFrame, parts: int) -> DataFrame:
         said = [{"kind": "totals", "a": np.array([known.sum(), len(known), *_counts_of_counts(known)], "<i8").tobytes()}]
         for block, own, mine in zip(group.column("block").to_pylist(), group.column("locals").to_pylist(), np.split(which, np.cumsum(sizes)[:-1])):
             said.append({"block": block, "kind": "words", "part": part, "a": own, "b": pack(_START + 1 + part + parts * mine), "c": pack(count[mine])})
-        return _table(_ANSWER, said)
+        return arrow_table(_ANSWER, said)
 
     return rows.where("part IS NOT NULL").select("block", "part", "keys", "locals", "trained").groupBy("part").applyInArrow(summed, _ANSWER)
 
@@ -288,7 +282,7 @@ def _bigram_requests(texts: DataFrame, words: DataFrame, parts: int, starts: int
                     "hot": pack(hot[a:b]),
                 }
             )
-        return _table(schema, rows)
+        return arrow_table(schema, rows)
 
     return texts.groupBy("block").cogroup(words.groupBy("block")).applyInArrow(asked, schema)
 
@@ -334,7 +328,7 @@ def _bigrams(requests: DataFrame, unigram: Unigrams) -> DataFrame:
                 asking[int(i)].append(block)
         for i in split:
             rows.append({"block": int(head[start[i]]), "kind": "hot", "part": part, "a": pack(np.array(asking[int(i)])), "b": pack(classes[i]), "c": covered[i : i + 1].astype("<f8").tobytes()})
-        return _table(_ANSWER, rows)
+        return arrow_table(_ANSWER, rows)
 
     return requests.groupBy("part").applyInArrow(summed, _ANSWER)
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import numpy as np
+import pyarrow as pa
 import zstandard
 
 _press = zstandard.ZstdCompressor(level=1)
@@ -39,3 +40,12 @@ def runs(ordered: np.ndarray) -> np.ndarray:
     first = np.ones(len(ordered), bool)
     first[1:] = ordered[1:] != ordered[:-1]
     return np.flatnonzero(first)
+
+
+_KINDS = {"int": pa.int32(), "long": pa.int64(), "string": pa.string(), "binary": pa.binary()}
+
+
+def arrow_table(schema: str, rows: list[dict]) -> pa.Table:
+    """Rows with the columns and types of a Spark schema; what a row does not have is null."""
+    names = [c.split(" ") for c in schema.split(", ")]
+    return pa.Table.from_pylist(rows, schema=pa.schema([(name, _KINDS[kind]) for name, kind in names]))

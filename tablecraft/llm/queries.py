@@ -7,7 +7,7 @@ from inspect import cleandoc
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tablecraft.llm import decontamination, htmltext, katz, linetemplates, mixing, neardup, quality, secrets, sharding, suffixdedup, tokenids
+from tablecraft.llm import alignment, decontamination, htmltext, katz, linetemplates, mixing, neardup, quality, secrets, sharding, suffixdedup, tokenids
 
 Query = Callable[[SparkSession, str], DataFrame]
 LLM_QUERIES: dict[str, Query] = {}
@@ -80,6 +80,14 @@ def op10_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokenids.op10_token_ids(_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+@_query()
+def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    paths = (public_tokenizers.path(name) for name in ("byte_bpe_50k.json", "piece_bpe_32k.model"))
+    return alignment.op11_token_alignment(_table(spark, sf_dir, "documents"), *paths)
+
+
 @_query()
 def op12_katz_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return katz.op12_katz_scores(_table(spark, sf_dir, "documents"))
