@@ -1,6 +1,6 @@
 """A bigram language model with Katz backoff, counted and evaluated in packed blocks.
 
-1. Texts are cut into words; about 16 MB of whole texts are a block. A block has a dictionary
+1. Texts are cut into words; about 10 MB of whole texts are a block. A block has a dictionary
    of its different words, so whatever is shuffled has one entry for each block at most,
    however frequent a word is.
 2. Words are dealt by their hash into the parts of the unigram table; each part sums the
@@ -46,7 +46,7 @@ from tablecraft.shared import settled
 #: Larger counts are reliable and not discounted.
 FREQUENT = 5
 #: Bytes of text in a block, and bytes of text for each part of the tables.
-BLOCK = 1 << 24
+BLOCK = 10 << 20
 PART = 1 << 23
 #: Training tokens of a first word in one part; of more, its bigrams are dealt over more parts.
 HOT_WORD = 1 << 22
