@@ -1,6 +1,6 @@
 """Links between the tokens that two tokenizers make of the same text.
 
-1. Texts are cut where neither tokenizer joins what stands on both sides; about 16 MB of whole
+1. Texts are cut where neither tokenizer joins what stands on both sides; about 12 MB of whole
    texts are a block, and each different piece of a block is encoded and aligned once. A
    dictionary from cumulative byte end to index is made for each tokenizer; the ends that both
    hash sets hold, sorted, slice both lists of ids into groups, and each slice is expanded into
@@ -31,7 +31,6 @@ import hashlib
 import json
 import os
 import re
-from array import array
 from collections.abc import Iterator
 from functools import cache
 from itertools import chain
@@ -48,8 +47,10 @@ from tablecraft.llm.textblocks import mix
 from tablecraft.shared import settled
 
 #: Bytes of text in a block, and bytes of text for each part of the table of pairs.
-BLOCK = 1 << 24
+BLOCK = 12 << 20
 PART = 1 << 23
+#: Pieces that are encoded and aligned together.
+SLICE = 1 << 13
 #: Links of a group beyond which its different ids are paired, with how often they meet.
 LARGE_GROUP = 1 << 12
 #: Texts and links that are looked at together when pairs are counted.
@@ -177,46 +178,40 @@ class Aligner:
         return (a, b) if same else None
 
     def align(self, pieces: list[str]) -> Aligned:
-        """Groups and links of different pieces."""
-        a, b = array("i"), array("i")
-        wrong: list[int] = []
-        for i in range(0, len(pieces), 4096):
-            part = pieces[i : i + 4096]
-            # White space at an end would run together with the blank between two pieces.
-            alone = not self.cuts or any(p[0].isspace() or p[-1].isspace() for p in part)
-            together = None if alone else self._together(part)
-            for k, both in [(i, together)] if together else enumerate(map(self._alone, part), i):
-                if both is None:
-                    wrong.append(k)
-                else:
-                    a.extend(both[0])
-                    b.extend(both[1])
-        a, b = (np.frombuffer(x, np.int32).astype(np.int64) if x else np.zeros(0, np.int64) for x in (a, b))
-        size = np.fromiter((len(p) if p.isascii() else len(p.encode()) for p in pieces), np.int64, len(pieces)) + 1
+        """Groups and links of different pieces, some thousand pieces at once."""
+        return Aligned([self._slice(pieces[i : i + SLICE], i) for i in range(0, len(pieces), SLICE)], self.n_b)
+
+    def _slice(self, pieces: list[str], number: int) -> Slice:
+        # White space at an end would run together with the blank between two pieces.
+        alone = not self.cuts or any(p[0].isspace() or p[-1].isspace() for p in pieces)
+        together = None if alone else self._together(pieces)
+        found = [together] if together else [self._alone(p) for p in pieces]
         right = np.ones(len(pieces), bool)
-        right[wrong] = False
+        if not together:
+            right[[i for i, both in enumerate(found) if both is None]] = False
+        a, b = (np.array(list(chain.from_iterable(both[k] for both in found if both)), np.int64) for k in (0, 1))
+        size = np.array([len(p) if p.isascii() else len(p.encode()) for p in pieces], np.int64) + 1
         ends_a, ends_b, ends = np.cumsum(self.length_a[a]), np.cumsum(self.length_b[b]), np.cumsum(size * right)
         n_a, n_b = (np.diff(np.searchsorted(x, ends, "right"), prepend=0) for x in (ends_a, ends_b))
-        ends_a, ends_b = ends_a.tolist(), ends_b.tolist()
-        index_a, index_b = dict(zip(ends_a, range(1, len(a) + 1))), dict(zip(ends_b, range(1, len(b) + 1)))
+        index_a = dict(zip(ends_a.tolist(), range(1, len(a) + 1)))
+        index_b = dict(zip(ends_b.tolist(), range(1, len(b) + 1)))
         common = sorted(index_a.keys() & index_b.keys())
-        cut_a = np.fromiter(chain([0], map(index_a.__getitem__, common)), np.int64, len(common) + 1)
-        cut_b = np.fromiter(chain([0], map(index_b.__getitem__, common)), np.int64, len(common) + 1)
-        return Aligned(self, right, a, b, n_a, n_b, cut_a, cut_b)
+        cut_a = np.array([0, *map(index_a.__getitem__, common)], np.int64)
+        cut_b = np.array([0, *map(index_b.__getitem__, common)], np.int64)
+        return Slice(self, number, right, a, b, n_a, n_b, cut_a, cut_b)
 
 
-class Aligned:
-    """Groups and links of different pieces."""
+class Slice:
+    """Groups and links of some different pieces; ``number`` is the place of the first."""
 
-    def __init__(self, aligner: Aligner, right, a, b, n_a, n_b, cut_a, cut_b):
+    def __init__(self, aligner: Aligner, number: int, right, a, b, n_a, n_b, cut_a, cut_b):
         self.right, self.n_a, self.n_b = right, n_a, n_b
         in_a, in_b = np.diff(cut_a), np.diff(cut_b)
-        piece_of = np.repeat(np.arange(len(n_a)), n_a)
-        group_piece = piece_of[cut_a[1:] - 1]
+        group_piece = np.repeat(np.arange(len(n_a)), n_a)[cut_a[1:] - 1]
         self.n_groups = np.bincount(group_piece, minlength=len(n_a))
         self.n_links = np.bincount(group_piece, in_a * in_b, minlength=len(n_a)).astype(np.int64)
         self.digests = self._digests(aligner, a, b, cut_a, cut_b, group_piece)
-        self._link(aligner.n_b, a, b, cut_a, cut_b, group_piece)
+        self._link(aligner.n_b, a, b, cut_a, cut_b, group_piece + number)
 
     def _digests(self, aligner: Aligner, a, b, cut_a, cut_b, group_piece) -> list[bytes]:
         """What each piece adds to the text that is hashed: ``a1,a2|b1;`` for each group."""
@@ -232,8 +227,7 @@ class Aligned:
         return [b"".join(parts[i:j]) for i, j in zip([0, *ends], ends)]
 
     def _link(self, n_b: int, a, b, cut_a, cut_b, group_piece) -> None:
-        """Different pairs (``pairs``), frequent ones first; per piece ``n_own`` entries of ``own``
-        (places in ``pairs``) with ``times``, how often the piece links them."""
+        """One entry for every link: its pair of ids, its piece, and how often it is meant."""
         in_a, in_b = np.diff(cut_a), np.diff(cut_b)
         large = np.flatnonzero(in_a * in_b > LARGE_GROUP)
         few = np.flatnonzero(in_a * in_b <= LARGE_GROUP)
@@ -248,7 +242,22 @@ class Aligned:
             pair.append((ids_a[:, None] * n_b + ids_b).ravel())
             times.append((often_a[:, None] * often_b).ravel())
             piece.append(np.full(len(pair[-1]), group_piece[g]))
-        pair, piece, times = np.concatenate(pair), np.concatenate(piece), np.concatenate(times)
+        self.pair, self.piece, self.times = np.concatenate(pair), np.concatenate(piece), np.concatenate(times)
+
+
+class Aligned:
+    """Different pieces of a block: figures and digests of each, and its links: different pairs
+    (``pairs``), frequent ones first; per piece ``n_own`` entries of ``own`` (places in ``pairs``)
+    with ``times``, how often the piece links them."""
+
+    def __init__(self, slices: list[Slice], n_b: int):
+        def whole(name: str, kind: type) -> np.ndarray:
+            return np.concatenate([np.zeros(0, kind), *[getattr(s, name) for s in slices]])
+
+        self.right = whole("right", bool)
+        self.n_a, self.n_b, self.n_groups, self.n_links = (whole(x, np.int64) for x in ("n_a", "n_b", "n_groups", "n_links"))
+        self.digests = [d for s in slices for d in s.digests]
+        pair, piece, times = (whole(x, np.int64) for x in ("pair", "piece", "times"))
         order = np.argsort(pair)
         first = runs(pair[order])
         size = np.diff(np.append(first, len(pair)))

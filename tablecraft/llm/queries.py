@@ -7,7 +7,7 @@ from inspect import cleandoc
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tablecraft.llm import alignment, decontamination, htmltext, katz, linetemplates, mixing, neardup, quality, secrets, sharding, suffixdedup, tokenids
+from tablecraft.llm import alignment, decontamination, hardnegatives, htmltext, katz, linetemplates, mixing, neardup, quality, secrets, sharding, suffixdedup, tokenids
 
 Query = Callable[[SparkSession, str], DataFrame]
 LLM_QUERIES: dict[str, Query] = {}
@@ -91,3 +91,8 @@ def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query()
 def op12_katz_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return katz.op12_katz_scores(_table(spark, sf_dir, "documents"))
+
+
+@_query(hardnegatives.OP13_SQL)
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hardnegatives.op13_hard_negatives(_table(spark, sf_dir, "embeddings"))
