@@ -130,7 +130,7 @@ class Aligner:
         lists = [pc.split_pattern(texts.take(pa.array(plain)), " "), pa.array(by_hand, pa.list_(texts.type))]
         n_pieces = np.concatenate([x.value_lengths().to_numpy(zero_copy_only=False) for x in lists]).astype(np.int64)
         found = pa.concat_arrays([x.flatten() for x in lists]).dictionary_encode()
-        piece, pieces = found.indices.to_numpy().astype(np.int64), found.dictionary.to_pylist()
+        piece, pieces = found.indices.to_numpy().astype(np.int64), found.dictionary.to_numpy(zero_copy_only=False).tolist()
         # Pieces with outer white space stand last, so that most can be encoded together.
         outer = np.fromiter((p[0].isspace() or p[-1].isspace() for p in pieces), bool, len(pieces))
         last = np.argsort(outer, kind="stable")

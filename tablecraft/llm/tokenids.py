@@ -1,8 +1,9 @@
 """Token ids in files of independent rANS blocks.
 
 1. Texts become ids with the tokenizer. It parts pieces at white space, and runs of letters
-   from other signs; each distinct piece is encoded once while it stays in a task's bounded
-   cache, and ids are put together by piece.
+   from other signs; each distinct piece is encoded once while it stays in a worker's bounded
+   cache, and ids are put together by piece. That it does so is read from its configuration;
+   with any other configuration whole texts are encoded.
 2. Ids of the whole table are counted on the way; the counts, scaled to 2 ** PRECISION, are
    the shared frequency table.
 3. Rows are ordered by id of the document over range partitions. Each partition writes
@@ -16,12 +17,15 @@ Files: Parquet with one row per block (columns of ``BLOCK_SCHEMA``; integers lit
 under ``blocks``, and the table (id, frequency) under ``frequencies``.
 
 Defined results: null and empty texts hold the end id alone. Rows with a null id stand first.
-Rows that repeat an id stand in the order of their ids' bytes. An empty table gives empty
+Rows that repeat an id of the
+document stand in the order of a hash of their token ids, then of these. An empty table gives empty
 files. A document of any length is one block at most.
 """
 
 from __future__ import annotations
 
+import gc
+import json
 import re
 import zlib
 from collections.abc import Iterator
@@ -30,6 +34,7 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
@@ -41,26 +46,62 @@ END_ID = 1
 PRECISION = 20
 LANES = 2048
 BLOCK_TOKENS = 1 << 19
-CACHE_PIECES = 1_500_000
+CACHE_PIECES = 1_000_000
 _LOW = np.uint64(1 << 31)
-_SENTINEL = "\u0001"
 BLOCK_SCHEMA = "part int, block int, n_tokens long, doc_ids binary, doc_nulls binary, lengths binary, states binary, words binary, crc_ids long, crc_words long"
-_NOT_SPACE = re.compile("[\x1c-\x1f]")  # white space to str.split, but not to the tokenizer
-#: Characters whose lower case and kind (letter or not) are certain, and pieces of them: the
-#: tokenizer keeps runs of letters apart from runs of other signs, except for an apostrophe.
-_UNSURE = re.compile("[^\x00-\xa9\xab-\xb4\xb6-\xb9\xbb-\u012f\u0131-\u017f]|'")
-_PIECES = re.compile("[a-z\xdf-\xf6\xf8-\u017f]+|[^ \t-\ra-z\xdf-\xf6\xf8-\u017f]+")
+_SENTINEL = "\u0001"
+#: Texts with characters whose lower case or kind (letter or not) is not certain; the tokenizer
+#: keeps runs of letters apart from runs of other signs, except for an apostrophe.
+_UNSURE = "[^\x00-\xa9\xab-\xb4\xb6-\xb9\xbb-\u012f\u0131-\u017f]|'|[\x1c-\x1f]|<\\|"
+_SIGNS = "([^\t-\r a-z\xdf-\xf6\xf8-\u017f]+)"
 #: Runs of letters that the tokenizer passes to its model whole and, in lower case, as they are.
 _LETTER_RUN = re.compile("[a-z\xdf-\xf6\xf8-\u0130\u0132-\u017e]+")
-_PROBES = ("a", "token", "stra\xdfe", "\u0142\xf3d\u017a")
+#: The steps for which all this holds, as configurations name them.
+_KNOWN_NORMALIZERS = (
+    {"type": "NFC"},
+    {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "},
+    {"type": "Lowercase"},
+)
+_KNOWN_SPLIT = {
+    "type": "Split",
+    "pattern": {"Regex": "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"},
+    "behavior": "Removed",
+    "invert": True,
+}
+
+
+def _steps(step: dict | None, inner: str) -> list[dict]:
+    if step is None:
+        return []
+    return step[inner] if step["type"] == "Sequence" else [step]
+
+
+def cuts_hold(config: dict) -> bool:
+    """Whether words and runs of letters go to the model one by one, letters in lower case as they
+    are: text is only composed, its white space shortened and its letters lowered; pieces are
+    those of the known expression, as bytes; and the model adds nothing before them."""
+    pieces = _steps(config["pre_tokenizer"], "pretokenizers")
+    model = config["model"]
+    return (
+        all(step in _KNOWN_NORMALIZERS for step in _steps(config["normalizer"], "normalizers"))
+        and {"type": "Lowercase"} in _steps(config["normalizer"], "normalizers")
+        and len(pieces) == 2
+        and pieces[0] == _KNOWN_SPLIT
+        and pieces[1]["type"] == "ByteLevel"
+        and not pieces[1]["add_prefix_space"]
+        and not pieces[1]["use_regex"]
+        and model["type"] == "BPE"
+        and not model.get("dropout")
+        and not model.get("continuing_subword_prefix")
+        and all("<|" in token["content"] for token in config["added_tokens"])
+    )
 
 
-def _pieces(text: str) -> list[str]:
-    """Parts of a text whose ids, one after another, are those of the text."""
-    if "<|" in text or _NOT_SPACE.search(text):
-        return re.split(r"[ \t-\r]+", text)
-    unsure = "'" in text if text.isascii() else _UNSURE.search(text)
-    return text.split() if unsure else _PIECES.findall(text.lower())
+def byte_signs() -> dict[int, str]:
+    """Signs of byte-level vocabularies: printable Latin-1 for itself, the rest from U+0100 on."""
+    plain = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    rest = [b for b in range(256) if b not in plain]
+    return {b: chr(b) for b in plain} | {b: chr(256 + i) for i, b in enumerate(rest)}
 
 
 class _Places(dict):
@@ -75,29 +116,44 @@ class _Places(dict):
         return place
 
 
+class _Grown:
+    """An array that is appended to, with room to grow."""
+
+    def __init__(self, kind: type):
+        self.room, self.n = np.zeros(1 << 10, kind), 0
+
+    def append(self, values: np.ndarray) -> None:
+        if self.n + len(values) > len(self.room):
+            room = np.zeros(2 * (self.n + len(values)), self.room.dtype)
+            room[: self.n] = self.room[: self.n]
+            self.room = room
+        self.room[self.n : self.n + len(values)] = values
+        self.n += len(values)
+
+
 class PieceEncoder:
     """Ids of texts, each distinct piece encoded once while it stays in the bounded cache."""
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
-        from tokenizers.pre_tokenizers import ByteLevel
 
         self.tokenizer = Tokenizer.from_file(path)
-        ids = self.tokenizer.encode(_SENTINEL, add_special_tokens=False).ids
+        ids = self._whole(_SENTINEL)
         self.mark = ids[0] if len(ids) == 1 else None
-        self.bytes_as_text = ByteLevel(add_prefix_space=False, use_regex=False)
-        whole = [self.tokenizer.encode(p, add_special_tokens=False).ids for p in _PROBES]
-        self.plain_letters = whole == [self._of_letters(p) for p in _PROBES]
+        self.signs = byte_signs()
+        self.cuts = cuts_hold(json.loads(self.tokenizer.to_str()))
         self.forget()
 
     def forget(self) -> None:
         self.place = _Places()
-        self.ids = np.zeros(0, np.uint32)
-        self.lengths = np.zeros(0, np.int64)
+        self.ids, self.lengths, self.firsts = _Grown(np.uint32), _Grown(np.int64), _Grown(np.int64)
+
+    def _whole(self, text: str) -> list[int]:
+        return self.tokenizer.encode(text, add_special_tokens=False).ids
 
     def _of_letters(self, run: str) -> list[int]:
         """Ids of a run of letters, from the model without the steps that leave such runs alone."""
-        text = run if run.isascii() else self.bytes_as_text.pre_tokenize_str(run)[0][0]
+        text = run if run.isascii() else run.encode().decode("latin-1").translate(self.signs)
         return [token.id for token in self.tokenizer.model.tokenize(text)]
 
     def _of_others(self, pieces: list[str]) -> list[list[int]]:
@@ -105,47 +161,56 @@ class PieceEncoder:
         found = []
         for i in range(0, len(pieces), 4096):
             part = pieces[i : i + 4096]
-            if self.mark is not None and not any(_SENTINEL in p for p in part):
-                joined = self.tokenizer.encode(f" {_SENTINEL} ".join(part), add_special_tokens=False)
-                got = np.array(joined.ids, np.uint32)
+            if self.mark is not None and self.cuts and not any(_SENTINEL in p for p in part):
+                got = np.array(self._whole(f" {_SENTINEL} ".join(part)), np.uint32)
                 marks = np.flatnonzero(got == self.mark)
                 if len(marks) == len(part) - 1:
                     found += [ids[k > 0 :].tolist() for k, ids in enumerate(np.split(got, marks))]
                     continue
             # a piece holds the mark, or holds it in another guise
-            found += [self.tokenizer.encode(p, add_special_tokens=False).ids for p in part]
+            found += [self._whole(p) for p in part]
         return found
 
     def _learn(self) -> None:
         """Take in the ids of the pieces noted as new."""
         new, self.place.new = self.place.new, []
-        direct = [self.plain_letters and _LETTER_RUN.fullmatch(p) is not None and p == p.lower() for p in new]
+        direct = [self.cuts and _LETTER_RUN.fullmatch(p) is not None and p == p.lower() for p in new]
         others = iter(self._of_others([p for p, letters in zip(new, direct) if not letters]))
         found = [self._of_letters(p) if letters else next(others) for p, letters in zip(new, direct)]
-        self.ids = np.concatenate([self.ids, np.fromiter(chain.from_iterable(found), np.uint32)])
-        self.lengths = np.concatenate([self.lengths, np.fromiter(map(len, found), np.int64, len(found))])
-
-    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        lengths = np.fromiter(map(len, found), np.int64, len(found))
+        self.firsts.append(self.ids.n + np.cumsum(lengths) - lengths)
+        self.lengths.append(lengths)
+        self.ids.append(np.fromiter(chain.from_iterable(found), np.uint32, int(lengths.sum())))
+
+    def _pieces(self, texts: pa.Array) -> tuple[np.ndarray, pa.Array]:
+        """Number of pieces of each text, and the pieces, whose ids one after another are those of
+        the text: words, of which signs are parted from letters where all characters are certain."""
+        if not self.cuts:
+            return np.ones(len(texts), np.int64), texts
+        parted = pc.replace_substring_regex(pc.utf8_lower(texts), _SIGNS, " \\1 ")
+        split = pc.ascii_split_whitespace(pc.if_else(pc.match_substring_regex(texts, _UNSURE), texts, parted))
+        return split.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64), split.flatten()
+
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids one after another, with the end id after each text, and their number by text."""
         if len(self.place) > CACHE_PIECES:
             self.forget()
-        split = [_pieces(text) for text in texts]
-        n_words = np.array([len(words) for words in split], np.int64)
-        every = map(self.place.__getitem__, chain.from_iterable(split))
-        which = np.fromiter(every, np.int64, int(n_words.sum()))
+        n_words, pieces = self._pieces(texts)
+        different = pieces.dictionary_encode()
+        every = different.dictionary.to_numpy(zero_copy_only=False).tolist()
+        which = np.fromiter(map(self.place.__getitem__, every), np.int64, len(every))[different.indices.to_numpy()]
         if self.place.new:
             self._learn()
-        firsts = np.cumsum(self.lengths) - self.lengths
         # The end of each text is one more piece of one id.
         ends = np.cumsum(n_words) + np.arange(len(texts))
         length, start = np.ones(len(which) + len(texts), np.int64), np.zeros(len(which) + len(texts), np.int64)
         inner = np.ones(len(length), bool)
         inner[ends] = False
-        length[inner], start[inner] = self.lengths[which], firsts[which]
+        length[inner], start[inner] = self.lengths.room[which], self.firsts.room[which]
         before = np.cumsum(length) - length
         source = np.repeat(start - before, length) + np.arange(int(length.sum()))
         source[before[ends]] = 0
-        out = self.ids[source] if len(self.ids) else np.zeros(len(source), np.uint32)
+        out = self.ids.room[source]
         out[before[ends]] = END_ID
         bounds = np.concatenate([[0], before[ends] + 1])
         return out, np.diff(bounds)
@@ -181,17 +246,17 @@ def token_rows(docs: DataFrame, path: str, key: str = "doc_id", text: str = "tex
     """
 
     def encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        gc.disable()  # millions of short lists that hold no cycles
         encoder = encoder_of(path)
         total = np.zeros(0, np.int64)
         for batch in batches:
             texts = batch.column("_text")
+            sizes = np.cumsum(pc.binary_length(texts).to_numpy())
             i = 0
             while i < len(texts):  # about 2 MB of text at once
-                j, size = i, 0
-                while j < len(texts) and (j == i or size < 1 << 21):
-                    size += len(texts[j].as_buffer() or b"")
-                    j += 1
-                ids, counts = encoder.encode(texts.slice(i, j - i).to_pylist())
+                before = int(sizes[i - 1]) if i else 0
+                j = max(i + 1, int(np.searchsorted(sizes, before + (1 << 21), "right")))
+                ids, counts = encoder.encode(texts.slice(i, j - i))
                 count = np.bincount(ids, minlength=len(total))
                 count[: len(total)] += total
                 total = count
@@ -336,9 +401,11 @@ def write_blocks(rows: DataFrame, table: DataFrame, folder: str, parts: int | No
         if held:
             yield pa.RecordBatch.from_pylist([block_of(part, number, held)])
 
-    order = [F.asc_nulls_first("key"), F.col("ids")]
-    ranged = rows.repartitionByRange(parts, *order) if parts else rows.repartitionByRange(*order)
-    ranged.sortWithinPartitions(*order).select("key", "ids").mapInArrow(_typed(written), BLOCK_SCHEMA).write.parquet(f"{folder}/blocks")
+    # Bounds of ranges are drawn on the driver: their keys are two numbers, whatever a text's length.
+    ranges = [F.asc_nulls_first("key"), F.asc("_hash")]
+    rows = rows.withColumn("_hash", F.xxhash64("ids"))
+    ranged = rows.repartitionByRange(parts, *ranges) if parts else rows.repartitionByRange(*ranges)
+    ranged.sortWithinPartitions(*ranges, "ids").select("key", "ids").mapInArrow(_typed(written), BLOCK_SCHEMA).write.parquet(f"{folder}/blocks")
 
 
 def _typed(function):

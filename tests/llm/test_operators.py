@@ -3,18 +3,21 @@
 from __future__ import annotations
 
 import hashlib
+import json
 import random
 import re
 import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 import corpus_pipeline
 from tablecraft.llm import decontamination, htmltext, linetemplates, mixing, neardup, quality, secrets, sharding, suffixdedup, tokenids
 
 tokenizers = pytest.importorskip("tokenizers")
+public_tokenizers = pytest.importorskip("public_tokenizers")
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, row string, body string, size long"
 WORDS = [f"w{i}x" for i in range(60)]
 
@@ -343,7 +346,9 @@ def test_pieces_give_the_ids_of_the_text():
     encoder = tokenids.PieceEncoder(public.path("word_bpe_49k.json"))
     texts = ["", "a\x1cb", "don't DON'T it's", "<|endoftext|>x \x01 \x01\x01", "ΑΣ İ ŉ ƀ", "xª µ×÷ ½ 12,3.x--y", "é́ \xa0　\x85v"]
     texts += [chr(i) + "a" + chr(i) + "B " + chr(i) * 2 + "." for i in range(1, 0x500)]
-    ids, counts = encoder.encode(texts)
+    texts += [" \t", "\n a\x0bb\x0c ", "e\u0301 a\u0301b \u0301", "'s 's 'S", "a<|startoftext|>b", "A" * 3000 + "." * 50]
+    assert encoder.cuts
+    ids, counts = encoder.encode(pa.array(texts))
     for text, own in zip(texts, np.split(ids, np.cumsum(counts)[:-1])):
         assert list(own) == encoder.tokenizer.encode(text, add_special_tokens=False).ids + [1]
 
@@ -367,3 +372,27 @@ def test_pipeline_stages_keep_the_columns(spark, odd, odd_rows, items, labels, t
     rows = corpus_pipeline.run(spark, str(tmp_path)).collect()
     assert rows and {r.doc_id for r in rows}.isdisjoint({3, 4, 5, 6, 10})
     assert sum(r.doc_id in (0, 1, 2, None) for r in rows) <= 3
+
+
+def test_other_configurations_encode_whole_texts(tmp_path):
+    """Where a configuration does not show that pieces can be taken one by one, none are cut."""
+    config = json.loads(open(public_tokenizers.path("word_bpe_49k.json")).read())
+    config["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"] = "[^\\s]+"
+    (tmp_path / "other.json").write_text(json.dumps(config))
+    encoder = tokenids.PieceEncoder(str(tmp_path / "other.json"))
+    assert not encoder.cuts
+    texts = ["one, two.three", "", "a  b\nc"]
+    ids, counts = encoder.encode(pa.array(texts))
+    for text, own in zip(texts, np.split(ids, np.cumsum(counts)[:-1])):
+        assert list(own) == encoder.tokenizer.encode(text, add_special_tokens=False).ids + [1]
+
+
+def test_long_texts_in_ranges(spark, tmp_path):
+    """200 texts of 15,000 words and more, over ranges whose bounds are numbers."""
+    texts = spark.range(200).selectExpr("id AS doc_id", "repeat(concat('long text ', id, ' '), 5000) AS text")
+    rows = tokenids.token_rows(texts, public_tokenizers.path("word_bpe_49k.json"))
+    found = tokenids.op10_token_ids(texts, public_tokenizers.path("word_bpe_49k.json"))
+    assert found.count() == 200 and found.agg({"n_tokens": "min"}).first()[0] > 15_000
+    folder = str(tmp_path / "files")
+    tokenids.write_blocks(rows.where("n IS NOT NULL"), tokenids.frequencies(rows), folder, 3)
+    assert tokenids.read_blocks(spark, folder).count() == 200
