@@ -15,7 +15,9 @@ works on distinct lines, so a line that stands in a third of all documents is on
 recurring leaves and lines are broadcast up to ``broadcast_rows`` of them, else shuffled.
 
 Defined results: null and empty texts have one empty line. Lines without tokens are never
-dropped. Rows that repeat give equal rows. An empty table gives an empty table.
+dropped. Rows that repeat give equal rows. An empty table gives an empty table. A very long text
+is split in its task and travels once more with the places of its dropped lines; its lines travel
+alone, each with two hashes, and work grows in proportion to its lines and tokens.
 """
 
 from __future__ import annotations
@@ -46,11 +48,25 @@ def _leaf(tokens: Column) -> Column:
 
 
 def _lines(docs: DataFrame) -> DataFrame:
-    """row, body, at, line: every line of every text."""
+    """row, body, at, line: every line of every text.
+
+    The hashes of a text are made before its lines, so that no line carries the text.
+    """
     text = F.coalesce("text", F.lit(""))
-    return docs.select(
-        F.xxhash64("doc_id", text).alias("row"), F.xxhash64(text).alias("body"), F.posexplode(F.split(text, "\n")).alias("at", "line")
-    )
+    split = docs.select(F.xxhash64("doc_id", text).alias("row"), F.xxhash64(text).alias("body"), F.split(text, "\n").alias("_lines"))
+    # No text is without lines; the outer form spares a filter that would split each text again.
+    return split.select("row", "body", F.posexplode_outer("_lines").alias("at", "line"))
+
+
+def _flags(size: Column, held: Column) -> Column:
+    """Whether each place from 0 is among those held, without a search for every place."""
+    free = F.array_except(F.sequence(F.lit(0), size - 1), held)
+
+    def marked(places: Column, flag: bool) -> Column:
+        return F.transform(places, lambda i: F.struct(i.alias("place"), F.lit(flag).alias("flag")))
+
+    flags = F.transform(F.sort_array(F.concat(marked(held, True), marked(free, False))), lambda mark: mark["flag"])
+    return F.when(held.isNull(), F.array_repeat(F.lit(False), size)).otherwise(flags)
 
 
 def _bounded(frame: DataFrame, broadcast_rows: int) -> DataFrame:
@@ -73,9 +89,8 @@ def recurring_lines(docs: DataFrame, least_texts: int = LEAST_TEXTS, broadcast_r
     by_spot = ["leaf", "place", "token"]
     constant = spots.groupBy(*by_spot).agg(F.sum("n").alias("m")).where(F.col("m") >= least_texts).select(*by_spot)
     held = spots.join(constant, by_spot, "left_semi").groupBy("line_hash").agg(F.collect_set("place").alias("held"))
-    tokens = _tokens(F.col("line"))
-    fixed = F.transform(tokens, lambda t, i: F.coalesce(F.array_contains("held", i), F.lit(False)))
-    made = lines.join(held, "line_hash", "left").withColumn("fixed", fixed).withColumn("tokens", tokens)
+    made = lines.join(held, "line_hash", "left").withColumn("tokens", _tokens(F.col("line")))
+    made = made.withColumn("fixed", _flags(F.size("tokens"), F.col("held")))
     constants = F.aggregate(
         F.zip_with("tokens", "fixed", lambda t, f: (f | t.rlike("[0-9]")).cast("int")), F.lit(0), lambda a, x: a + x
     )
@@ -101,15 +116,16 @@ def drop_recurring_lines(docs: DataFrame, least_texts: int = LEAST_TEXTS, broadc
     text = F.coalesce("text", F.lit(""))
     # What goes grows with the documents: never broadcast, and the same plan at every size.
     joined = docs.withColumn("_row", F.xxhash64("doc_id", text)).join(gone.hint("shuffle_hash"), "_row", "left")
-    lines = F.split(text, "\n")
-    kept = F.when(F.col("_gone").isNull(), text).otherwise(
-        F.array_join(F.filter(lines, lambda line, i: ~F.array_contains(F.col("_gone"), i)), "\n")
-    )
     others = [F.col(f"`{c}`") for c in docs.columns if c != "text"]
-    return joined.select(
+    split = joined.select(*others, "_gone", text.alias("_text"), F.split(text, "\n").alias("_lines"))
+    stay = F.array_except(F.sequence(F.lit(0), F.size("_lines") - 1), F.col("_gone"))
+    kept = F.when(F.col("_gone").isNull(), F.col("_text")).otherwise(
+        F.array_join(F.transform(stay, lambda i: F.get(F.col("_lines"), i)), "\n")
+    )
+    return split.select(
         *others,
         kept.alias("text"),
-        F.size(lines).cast("long").alias("n_lines"),
+        F.size("_lines").cast("long").alias("n_lines"),
         F.coalesce(F.size("_gone"), F.lit(0)).cast("long").alias("n_dropped"),
     )
 
