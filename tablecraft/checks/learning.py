@@ -417,6 +417,17 @@ def recommend_new_items(spark, sf_dir):
     return rec.new_items(rec.fit_recommender(ratings), ratings)
 
 
-@query()
+HISTORY_SQL = f"""
+    SELECT user_id, item_id, round(rating::DOUBLE, 2) AS rating FROM ({RATINGS_SQL})
+"""
+
+
+@query(HISTORY_SQL)
 def recommend_with_history(spark, sf_dir):
-    return jobs.course_recommendations(order_shares(spark, sf_dir), first_users=5)
+    """What stands beside the recommendations of all users: their whole history.
+
+    The recommended rows of the same report are those of ``recommend_top5``.
+    """
+    report = jobs.course_recommendations(order_shares(spark, sf_dir))
+    watched = report.where("kind = 'watched'")
+    return watched.select("user_id", "item_id", F.round(F.col("rating").cast("double"), 2).alias("rating"))

@@ -324,11 +324,14 @@ def udf_month_order(spark, sf_dir):
     fn.register_sql_functions(spark)
     register_view(order_logs(spark, sf_dir), "order_log_view")
     return spark.sql("""
-        WITH counted AS (
-            SELECT level, date_format(datetime, 'MMMM') AS month, count(1) AS total
-            FROM order_log_view GROUP BY level, month),
-        numbered AS (SELECT *, month_num(month) AS monthnum FROM counted)
-        SELECT level, month, total FROM numbered ORDER BY monthnum, level
+        SELECT level, month, total
+        FROM (
+            SELECT *, month_num(month) AS place
+            FROM (
+                SELECT level, date_format(datetime, 'MMMM') AS month, count(*) AS total
+                FROM order_log_view
+                GROUP BY ALL))
+        ORDER BY place, level
     """)
 
 

@@ -182,13 +182,8 @@ def course_recommendations(
     """
     ratings = settled(watch_ratings(views, user, item, share))
     model = fit_recommender(ratings, seed=seed, **fitting)
-    if exclude_seen:
-        recommended = new_items(model, ratings, n)
-        if first_users is not None:
-            recommended = recommended.join(_lowest(ratings, first_users), "user_id", "left_semi")
-    else:
-        users = None if first_users is None else _lowest(ratings, first_users)
-        recommended = top_items(model, n, users)
+    users = None if first_users is None else settled(_lowest(ratings, first_users))
+    recommended = settled(new_items(model, ratings, n, users) if exclude_seen else top_items(model, n, users))
     return beside_history(recommended, ratings)
 
 

@@ -2,15 +2,13 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.ml.recommendation import ALS, ALSModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tablecraft import fixed_values as fixed
+from tablecraft.ml.retrieval import best_items
 from tablecraft.operators import top_rows_per
-from tablecraft.shared import settled
 
 
 def watch_ratings(
@@ -46,40 +44,41 @@ def fit_recommender(
     return model.setColdStartStrategy("drop")
 
 
-def _flat(recommended: DataFrame) -> DataFrame:
-    """One row per recommended item with its rank from 1."""
-    return recommended.select("user_id", F.posexplode("recommendations").alias("_place", "_item")).select(
-        "user_id", (F.col("_place") + 1).alias("rank"),
-        F.col("_item.item_id").alias("item_id"), F.col("_item.rating").alias("predicted"),
+def _recommended(model: ALSModel, users: DataFrame) -> DataFrame:
+    """user_id, rank, item_id, predicted: the first ``k`` items of each of ``users`` (id, k).
+
+    Users the model does not know have no rows.
+    """
+    known = model.userFactors.select("id", F.col("features").alias("v")).join(users, "id")
+    items = model.itemFactors.select(F.col("id").cast("long").alias("id"), F.col("features").cast("array<double>").alias("v"))
+    return best_items(known, items).select(
+        F.col("user").cast("int").alias("user_id"), "rank", F.col("item").cast("int").alias("item_id"),
+        F.col("score").cast("float").alias("predicted"),
     )
 
 
 def top_items(model: ALSModel, n: int = fixed.RECOMMENDED_ITEMS, users: DataFrame | None = None) -> DataFrame:
-    """The best ``n`` items of every user, or of the given ``users`` only.
+    """The best ``n`` items of every user, or of the given ``users`` only; ties by item.
 
     Items a user already watched can be among them.
     """
-    if users is None:
-        return _flat(model.recommendForAllUsers(n))
-    return _flat(model.recommendForUserSubset(users, n))
+    wanted = model.userFactors.select("id") if users is None else users.select(F.col("user_id").alias("id")).distinct()
+    return _recommended(model, wanted.withColumn("k", F.lit(n)))
 
 
-def new_items(model: ALSModel, ratings: DataFrame, n: int = fixed.RECOMMENDED_ITEMS) -> DataFrame:
-    """The best ``n`` items that the user has not watched.
+def new_items(
+    model: ALSModel, ratings: DataFrame, n: int = fixed.RECOMMENDED_ITEMS, users: DataFrame | None = None
+) -> DataFrame:
+    """The best ``n`` items that the user has not watched, of every user or of ``users`` only.
 
-    A user with ``w`` watched items needs a raw list of ``n + w`` for ``n`` new ones to
-    remain. Users are served in classes of similar ``w``, so the lists of all users
-    together stay in proportion to the ratings, however many one user has.
+    A user with ``w`` watched items needs a raw list of ``n + w`` for ``n`` new ones to remain,
+    so the lists of all users together stay in proportion to the ratings.
     """
-    per_user = ratings.groupBy("user_id").agg(F.count(F.lit(1)).alias("_watched"))
-    classed = settled(per_user.withColumn("_class", F.ceil(F.log2("_watched")).cast("int")))
-    classes = [row[0] for row in classed.select("_class").distinct().orderBy("_class").collect()]
-    offers = [
-        top_items(model, n + 2**size, classed.filter(F.col("_class") == size).select("user_id"))
-        for size in classes
-    ]
+    if users is not None:
+        ratings = ratings.join(users.select("user_id").distinct(), "user_id", "left_semi")
+    per_user = ratings.groupBy(F.col("user_id").alias("id")).agg((F.count(F.lit(1)) + n).cast("int").alias("k"))
     seen = ratings.select("user_id", "item_id")
-    unseen = reduce(DataFrame.unionByName, offers).join(seen, ["user_id", "item_id"], "left_anti")
+    unseen = _recommended(model, per_user).join(seen, ["user_id", "item_id"], "left_anti")
     order = [F.desc("predicted"), F.asc("item_id")]
     ranked = top_rows_per(unseen.drop("rank"), ["user_id"], order, n)
     return ranked.select("user_id", "rank", "item_id", "predicted")

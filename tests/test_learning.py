@@ -4,7 +4,7 @@ import random
 
 import numpy as np
 import pytest
-from conftest import rows
+from conftest import plan_of, rows
 from pyspark.errors import PySparkException
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from tablecraft.ml import features as ft
 from tablecraft.ml import jobs, models
 from tablecraft.ml import recommend as rec
+from tablecraft.ml import retrieval
 
 # ---- features -------------------------------------------------------------------------
 
@@ -275,6 +276,9 @@ def test_top_items(spark):
     assert top == rows(rec.top_items(rec.fit_recommender(ratings, seed=1)))
     few = ratings.select("user_id").distinct().orderBy("user_id").limit(2)
     assert rows(rec.top_items(model, users=few)) == [r for r in top if r[0] < 2]
+    full = {(r["user_id"], i): x for r in model.recommendForAllUsers(5).collect() for i, x in enumerate(r["recommendations"], 1)}
+    assert [(r[2], pytest.approx(r[3], rel=1e-5)) for r in top] == [(full[r[0], r[1]]["item_id"], full[r[0], r[1]]["rating"]) for r in top]
+    assert "CartesianProduct" not in plan_of(rec.top_items(model)) and "NestedLoop" not in plan_of(rec.top_items(model))
     cold = spark.createDataFrame([(999, 1), (0, 1)], "user_id int, item_id int")
     assert model.transform(cold).count() == 1
 
@@ -292,6 +296,40 @@ def test_new_items_against_brute_force(spark):
     assert rows(rec.new_items(model, ratings)) == sorted(expected, key=repr)
 
 
+@pytest.mark.parametrize("k", [1, 5, 60])
+def test_best_items_equal_full_scoring(spark, k):
+    """Blocks of 8 items and 16 users; ties, zero vectors, users that ask for more than there is."""
+    source = np.random.default_rng(k)
+    items = np.round(4 * source.normal(size=(50, 3)) * np.exp(source.normal(size=(50, 1)))) / 2  # exact products
+    items[7] = items[3]
+    items[9] = 0
+    users = np.round(4 * source.normal(size=(60, 3))) / 2
+    users[4] = 0
+    wanted = [(u, v.tolist(), k + u % 2) for u, v in enumerate(users)]
+    found = retrieval.best_items(
+        spark.createDataFrame(wanted, "id long, v array<double>, k int"),
+        spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(items)], "id long, v array<double>"), 8, 16,
+    )
+    expected = []
+    for u, v, most in wanted:
+        scores = items @ np.array(v)
+        for rank, i in enumerate(sorted(range(50), key=lambda i: (-scores[i], i))[:most], 1):
+            expected.append((u, i, rank))
+    assert sorted((r["user"], r["item"], r["rank"]) for r in found.collect()) == sorted(expected)
+
+
+def test_blocks_out_of_reach_are_not_scored(spark):
+    """Of 100 blocks with norms that halve, users need the first few."""
+    items = [(i, [2.0 ** -(i // 8), 0.0]) for i in range(800)]
+    users = [(u, [1.0, u / 100], 5) for u in range(50)]
+    frames = spark.createDataFrame(users, "id long, v array<double>, k int"), spark.createDataFrame(items, "id long, v array<double>")
+    found = retrieval.best_items(*frames, 8, 16)
+    assert {r["item"] for r in found.collect()} == {0, 1, 2, 3, 4}
+    joined = [line for line in plan_of(found).splitlines() if "Join" in line]
+    assert len(joined) >= 1 and not any("NestedLoop" in line or "Cartesian" in line for line in joined)
+    assert retrieval.best_items(frames[0], frames[1].limit(0)).count() == 0
+
+
 def test_recommendations_beside_history(spark):
     report = jobs.course_recommendations(watched(spark), first_users=3, seed=1)
     seen = {(r[0], r[1]): r[2] for r in ratings_of(spark).collect()}
