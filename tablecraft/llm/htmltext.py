@@ -9,11 +9,21 @@ greater. Elements under ``IMPORTANCE`` on ``LEAST_PAGES`` pages or more are low;
 with all that they hold unless that is text of an element that is not low.
 
 Beside that, elements whose tag, class, id or role names a menu, header, footer, sidebar,
-notice, advert, form, comment list or code are removed on any page. Names that tell of a
-layout (has-sidebar), and headers and widgets of an article's content, are no such names; a
-sidebar or the like around the first article leaves the article. Within an article,
-paragraphs and headings are its text and are left to no statistics; if a page has an article
-or main element, only what it holds is taken.
+notice, advert, form, comment list or code are removed on any page. A name counts if it is the
+whole of a class, or if the rest of the class says where or what kind of box it is (ad-slot,
+left-sidebar); names that can hardly mean anything else count as the last word of any class
+(shop-navbar), fewer of them within articles. Names that tell of a layout (has-sidebar), headers and widgets of
+an article's content, and quotations set beside the text are no such names. A form, a sidebar or
+the like around the first article leaves the article, and so does a menu that is never closed. A
+form that holds most of the text of a page without articles is its content.
+
+Within an article, paragraphs and headings are its text and are left to no statistics; if a page
+has an article or main element, only what it holds is taken, and if that has no heading of the
+first rank, also the last such heading before it with all that stands between.
+
+Pages are read in time proportional to their length: ends of elements that are not open are told
+by counts of open ones, and what follows a tag or a number of comments that never close is not
+searched again for each.
 
 Counts are kept by (host, path, presentation or content) and summed in tasks first, so a
 host with a third of all pages is not gathered anywhere; contents are counted by hash.
@@ -56,6 +66,19 @@ CONTENT = frozenset("article content entry post story".split())  # "article-head
 HOLDS = frozenset("header widget banner masthead".split())
 # Names of what may stand around an article as well; comments and adverts may not.
 AROUND = HOLDS | frozenset("sidebar footer form menu menubar modal dialog nav navbar navigation toolbar widget".split())
+# Names that hardly mean anything else, and words that say where or what kind of box something is.
+PLAIN = frozenset(
+    "advert adverts advertisement breadcrumb breadcrumbs cookie cookies footer masthead menubar modal navbar navigation newsletter "
+    "pagination popup sidebar signup sponsored toolbar nav menu banner header widget comments".split()
+)
+PLAIN_IN_MAIN = frozenset("advert adverts advertisement breadcrumbs comments footer navbar newsletter sidebar sponsored".split())
+BOX = frozenset(
+    "area bar block body bottom box btn button buttons col column container el first form group home icon icons id inner items item "
+    "label last layout left line link links list main mobile outer page panel posts primary right row secondary section site slot "
+    "sticky sub tertiary text title top unit wrap wrapper zone".split()
+)
+QUOTED = frozenset("pull pullquote quote quotation".split())  # an aside that repeats or sets off the text
+LEAVES = frozenset("nav header footer aside menu form".split())  # elements that may hold an article all the same
 HEAD = frozenset("base basefont bgsound head link meta noscript script style template title".split())
 BLOCKS = frozenset(
     "address article aside blockquote body caption center dd details dialog div dl dt fieldset figcaption figure footer form "
@@ -81,13 +104,16 @@ def _named(tokens: list[str], in_main: bool) -> set[str]:
     """Words of classes, ids and roles that name what is no main text."""
     found: set[str] = set()
     for token in tokens:
-        names = _WORD.findall(token)
-        parts = [w.lower() for name in names for w in _PART.findall(name)]
-        words = {name.lower() for name in names}.union(parts) & NAMED
-        if words and parts and parts[0] in LAYOUT:
+        whole = [name.lower() for name in _WORD.findall(token)]
+        parts = [w.lower() for name in _WORD.findall(token) for w in _PART.findall(name)]
+        words = NAMED.intersection(whole + parts)
+        if not words or not parts or parts[0] in LAYOUT:
             continue
+        if not any(words.issuperset(w for w in names if w not in BOX) for names in (whole, parts) if words.intersection(names)):
+            # another word is in it: only its last one can name it
+            words = {parts[-1]} & words & (PLAIN_IN_MAIN if in_main else PLAIN)
         if in_main or CONTENT.intersection(parts):
-            words -= {"header"} if in_main and not CONTENT.intersection(parts) else HOLDS
+            words = words - ({"header"} if in_main and not CONTENT.intersection(parts) else HOLDS)
         found |= words
     return found
 
@@ -97,13 +123,17 @@ def _hash(*parts: str | int) -> int:
 
 
 class _Node:
-    __slots__ = ("tag", "path", "gone", "hard", "main", "free", "low", "above", "mixed", "children", "own", "whole")
+    __slots__ = ("tag", "path", "gone", "hard", "main", "free", "low", "above", "mixed", "form", "inside", "outer", "closed", "children", "own", "whole")
 
     def __init__(self, tag: str, path: int, gone: bool, main: bool, free: bool, low: bool = False, above: _Node | None = None):
         self.tag, self.path, self.gone, self.main, self.free = tag, path, gone, main, free
         self.low, self.above = low, above  # the nearest low element around it
         self.hard = False  # gone, and an article in it as well
         self.mixed = False  # a low element that holds text of one that is not
+        self.form = False  # gone for no other reason than a form around it
+        self.inside: _Node | None = None  # the nearest menu or the like around it
+        self.outer: _Node | None = None  # and, of such an element, the next one around it
+        self.closed = False  # by its own end tag
         self.children: list[str] = []  # signatures, for the presentation
         self.own: list[str] = []  # text, for the content
         self.whole: list[str | int] = []  # text and hashes of what its children hold
@@ -112,6 +142,36 @@ class _Node:
         return self if self.low else self.above
 
 
+_OPEN_TAG = re.compile("<[A-Za-z/]")
+_NEVER_CLOSED = 16  # comments or sections that never close, beyond which they are taken to end at the next ">"
+
+
+def _readable(html: str) -> str:
+    """A page without what the parser would search to its end again and again: the tag that the
+    end of the page cuts off, and the starts of many comments or sections that never close."""
+    body = html.rfind(">") + 1
+    cut = _OPEN_TAG.search(html, body)
+    html = html[: cut.start()] if cut else html
+    for start, end in (("<!--", "-->"), ("<![", "]>")):
+        last = html.rfind(end) + 1
+        if html.count(start, last) > _NEVER_CLOSED:
+            html = html[:last] + html[last:].replace(start, "<!- ")
+    return html
+
+
+#: A piece of text: the low element and the menu around it, and whether only a form removes it.
+_Piece = tuple[_Node | None, _Node | None, bool, str]
+
+
+def _inside_closed(node: _Node | None) -> bool:
+    """Whether a menu or the like that does end stands around an article."""
+    while node is not None:
+        if node.closed:
+            return True
+        node = node.outer
+    return False
+
+
 class PageReader(HTMLParser):
     """Reads one page into blocks of text, and its elements for the site's tree."""
 
@@ -119,19 +179,21 @@ class PageReader(HTMLParser):
         super().__init__(convert_charrefs=True)
         self.low, self.tree = low, tree
         self.stack = [_Node("", 0, False, False, False)]
-        self.buffer: list[tuple[_Node | None, str]] = []  # with the low element around it
-        self.blocks: list[tuple[bool, list[tuple[_Node | None, str]]]] = []
+        self.open: Counter = Counter()  # tags on the stack
+        self.buffer: list[_Piece] = []
+        self.blocks: list[tuple[bool, bool, list[_Piece]]] = []  # in an article, in a heading of the first rank
         self.records: list[tuple[int, int]] = []
         self.paths: dict[tuple[int, str], int] = {}
-        self.mains: list[_Node | None] = []  # the low elements around articles
+        self.mains: list[tuple[_Node | None, _Node | None]] = []  # low elements and menus around articles
 
     def _flush(self) -> None:
         if self.buffer:
-            self.blocks.append((self.stack[-1].main, self.buffer))
+            self.blocks.append((self.stack[-1].main, self.open["h1"] > 0, self.buffer))
             self.buffer = []
 
     def _pop(self) -> None:
         node = self.stack.pop()
+        self.open[node.tag] -= 1
         if not self.tree or node.tag in CODE:
             return
         whole = _hash("whole", *node.whole) & ~1 if node.whole else SEEN
@@ -164,14 +226,14 @@ class PageReader(HTMLParser):
             self._end_head()
         if tag in BLOCKS:
             self._flush()
-            for depth in range(len(self.stack) - 1, 0, -1):  # a block ends an open paragraph
+            for depth in range(len(self.stack) - 1, 0, -1) if self.open["p"] else ():  # a block ends an open paragraph
                 if self.stack[depth].tag == "p":
                     self._pop_to(depth)
                 elif self.stack[depth].tag in BLOCKS:
                     break
         if tag in CLOSES:
             ends, until = CLOSES[tag]
-            for depth in range(len(self.stack) - 1, 0, -1):
+            for depth in range(len(self.stack) - 1, 0, -1) if any(self.open[t] for t in ends) else ():
                 if self.stack[depth].tag in until:
                     break
                 if self.stack[depth].tag in ends:
@@ -192,25 +254,40 @@ class PageReader(HTMLParser):
         if path is None:
             path = self.paths[top.path, signature] = _hash(top.path, signature)
         main = top.main or tag in ("article", "main")
+        article = tag in ("article", "main")
         aside = tag in ASIDE and not (tag == "header" and top.main)
-        hard = top.hard or tag in CODE or aside or bool(words - AROUND)
-        gone = hard or bool(words) or top.gone and not (tag in ("article", "main") and not self.mains)
+        if tag == "aside" and top.main and QUOTED.intersection(w.lower() for n in names for w in _PART.findall(n)):
+            aside = False
+        around = aside and tag in LEAVES
+        hard = top.hard or tag in CODE or aside and not around or bool(words - AROUND)
+        freed = article and not hard and not any(inside is None for _, inside in self.mains)
+        gone = hard or aside or bool(words) or top.gone and not (freed and not (top.main and top.gone))
         free = top.main and tag in TEXT or whole
         low = not free and path in self.low
-        if tag in ("article", "main") and not gone:
-            self.mains.append(top.near())
+        node = _Node(tag, path, gone, main, free, low, top.near())
+        node.hard = hard
+        # A form in an article is one; else it may hold the content of the page.
+        formed = tag == "form" and (top.form or not top.gone) or not aside and top.form
+        node.form = gone and formed and not (hard or words or main)
+        # Menus and the like that are closed around an article take it with them.
+        node.inside = top.inside
+        if around and tag != "form":
+            node.inside, node.outer = node, top.inside
+        if article and not gone:
+            self.mains.append((top.near(), top.inside))
         if self.tree:
             top.children.append(signature)
         if tag not in VOID:
-            self.stack.append(_Node(tag, path, gone, main, free, low, top.near()))
-            self.stack[-1].hard = hard
+            self.stack.append(node)
+            self.open[tag] += 1
 
     def handle_startendtag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
         self.handle_starttag(tag, attrs)
 
     def handle_endtag(self, tag: str) -> None:
-        for depth in range(len(self.stack) - 1, 0, -1):
+        for depth in range(len(self.stack) - 1, 0, -1) if self.open[tag] else ():
             if self.stack[depth].tag == tag:
+                self.stack[depth].closed = True
                 self._pop_to(depth)
                 return
 
@@ -218,9 +295,9 @@ class PageReader(HTMLParser):
         if self.stack[-1].tag == "head" and not data.isspace():
             self._end_head()
         top = self.stack[-1]
-        if not top.gone:
-            self.buffer.append((top.near(), data))
-            low = None if top.low or top.free else top.above
+        if not top.gone or top.form:
+            self.buffer.append((top.near(), top.inside, top.form, data))
+            low = None if top.low or top.free or top.form else top.above
             while low is not None and not low.mixed and not data.isspace():
                 low.mixed, low = True, low.above
         if self.tree:
@@ -230,20 +307,34 @@ class PageReader(HTMLParser):
                 top.whole.append(text)
 
     def read(self, html: str) -> PageReader:
-        self.feed(html)
+        self.feed(_readable(html))
         self.close()
         self._pop_to(1)
         self._flush()
         return self
 
     def text(self) -> str:
-        def kept(low: _Node | None) -> bool:
-            return low is None or low.mixed
-
-        has_main = any(map(kept, self.mains))
-        blocks = [block for main, block in self.blocks if main or not has_main]
-        texts = (_SPACE.sub(" ", "".join(data for low, data in block if kept(low))).strip() for block in blocks)
-        return "\n".join(text for text in texts if text)
+        def kept(low: _Node | None, inside: _Node | None) -> bool:
+            return (low is None or low.mixed) and not _inside_closed(inside)
+
+        size = Counter()
+        for _, _, pieces in self.blocks:
+            for low, inside, form, data in pieces:
+                size[form] += len(data.strip()) * kept(low, inside)
+        has_main = any(kept(low, inside) for low, inside in self.mains)
+        with_form = not has_main and size[True] > size[False]
+        texts = []
+        for main, heading, pieces in self.blocks:
+            said = "".join(data for low, inside, form, data in pieces if kept(low, inside) and (with_form or not form))
+            if text := _SPACE.sub(" ", said).strip():
+                texts.append((main, heading, text))
+        if has_main:
+            first = next((i for i, (main, _, _) in enumerate(texts) if main), len(texts))
+            title = first
+            if not any(main and heading for main, heading, _ in texts):
+                title = next((i for i in range(first - 1, -1, -1) if texts[i][1]), first)
+            texts = [t for i, t in enumerate(texts) if t[0] or title <= i < first]
+        return "\n".join(text for _, _, text in texts)
 
 
 def site_tree(pages: DataFrame) -> DataFrame:
