@@ -76,7 +76,9 @@ def house_price_model(
     **tuning,
 ) -> models.Fitted:
     training, holdout = stable_split(df, share, keys, seed)
-    return models.tuned_linear_regression(training, holdout, label, columns, categories, seed=seed, **tuning)
+    return models.tuned_linear_regression(
+        training, holdout, label, columns, categories, seed=seed, keys=keys, **tuning
+    )
 
 
 # ---- subscriptions --------------------------------------------------------------------

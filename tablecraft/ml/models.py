@@ -25,7 +25,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tablecraft import fixed_values as fixed
-from tablecraft.ml.features import feature_stages, feature_terms, fill_or_keep
+from tablecraft.ml import sums
+from tablecraft.ml.features import feature_stages, feature_terms, fill_or_keep, in_first_part
 from tablecraft.shared import settled
 
 METRICS = "metric string, value double"
@@ -157,9 +158,56 @@ def tuned_linear_regression(
     parallelism: int = 4,
     on_unseen: str = "error",
     nulls: str = "error",
+    keys: Sequence[str] | None = None,
+    most_terms: int = sums.MOST_TERMS,
 ) -> Fitted:
-    """Least squares with the penalty that does best by r2; predictions for the hold-out."""
+    """Least squares with the penalty that does best by r2; predictions for the hold-out.
+
+    Up to ``most_terms`` slots, all parts are read once: sums of products of the rows to fit, to
+    validate and to hold out give every point of the grid, the refitted model and its
+    figures. Rows are divided by ``keys`` (by default by their features and label), so partitioning
+    and lost tasks change nothing. Wider features are fitted point by point on written rows.
+    """
     stages, ready, held = _prepared(training, holdout, label, columns, categories, on_unseen, nulls)
+    terms = feature_terms(ready)
+    if len(terms) > most_terms:
+        return _tuned_by_passes(
+            stages, ready, held, terms, reg_params, elastic_nets, train_share, seed, parallelism
+        )
+    row = [F.concat_ws("|", *[F.col(key).cast("string") for key in keys])] if keys else [
+        F.concat_ws("|", F.col("label").cast("string"), F.array_join(vector_to_array("features"), ","))
+    ]
+    marked = ready.select("label", "features", row[0].alias("_row"), F.lit(True).alias("_train")).unionByName(
+        held.select("label", "features", F.lit(None).cast("string").alias("_row"), F.lit(False).alias("_train"))
+    )
+    part = F.when(~F.col("_train"), "holdout").when(in_first_part(["_row"], train_share, seed + 1), "fit").otherwise("validate")
+    found = sums.sums_by_part(marked, part)
+    missing = {"fit", "validate"} - found.keys()
+    if missing:
+        raise ValueError(f"no rows to {' and '.join(sorted(missing))}")
+    model, points = sums.best_of_grid(found["fit"], found["validate"], reg_params, elastic_nets)
+    line = model.intercept, model.coefficients
+    train = found["fit"] + found["validate"]
+    figures = {"train_r2": train.r2(*line), "train_rmse": train.rmse(*line)}
+    if "holdout" in found:
+        figures |= {"holdout_r2": found["holdout"].r2(*line), "holdout_rmse": found["holdout"].rmse(*line)}
+    figures |= {"reg_param": model.reg_param, "elastic_net": model.elastic_net}
+    spark = training.sparkSession
+    return Fitted(
+        model=model,
+        predictions=model.transform(held),
+        metrics=metric_frame(spark, figures),
+        coefficients=coefficient_frame(spark, terms, model),
+        grid=spark.createDataFrame(points, "reg_param double, elastic_net double, validation_metric double"),
+        stages=stages,
+    )
+
+
+def _tuned_by_passes(
+    stages: PipelineModel, ready: DataFrame, held: DataFrame, terms: Sequence[str], reg_params: Sequence[float],
+    elastic_nets: Sequence[float], train_share: float, seed: int, parallelism: int,
+) -> Fitted:
+    """The same for features too wide for matrices of sums."""
     with kept(settled(ready.select("label", "features")), held.select("label", "features")) as (train, test):
         model, grid = _tune(
             train, LinearRegression(), RegressionEvaluator(metricName="r2"),
@@ -171,12 +219,12 @@ def tuned_linear_regression(
             "holdout_r2": tested.r2, "holdout_rmse": tested.rootMeanSquaredError,
             "reg_param": model.getRegParam(), "elastic_net": model.getElasticNetParam(),
         }
-    spark = training.sparkSession
+    spark = ready.sparkSession
     return Fitted(
         model=model,
         predictions=model.transform(held),
         metrics=metric_frame(spark, figures),
-        coefficients=coefficient_frame(spark, feature_terms(ready), model),
+        coefficients=coefficient_frame(spark, terms, model),
         grid=grid,
         stages=stages,
     )

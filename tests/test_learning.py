@@ -7,12 +7,13 @@ import pytest
 from conftest import plan_of, rows
 from pyspark.errors import PySparkException
 from pyspark.ml.functions import vector_to_array
+from pyspark.ml.regression import LinearRegression
 from pyspark.sql import functions as F
 
 from tablecraft.ml import features as ft
 from tablecraft.ml import jobs, models
 from tablecraft.ml import recommend as rec
-from tablecraft.ml import retrieval
+from tablecraft.ml import retrieval, sums
 
 # ---- features -------------------------------------------------------------------------
 
@@ -145,6 +146,51 @@ def test_house_prices(spark):
     assert correlations["price", "price"] == 1.0 and correlations["sqft_living", "price"] > 0.9
 
 
+@pytest.mark.parametrize(("reg_param", "mixed"), [(0.0, 0.0), (0.5, 0.0), (0.5, 1.0), (3.0, 0.5)])
+def test_sums_give_the_fits_of_spark(spark, reg_param, mixed):
+    rows_ = ft.assembler(["Age", "Height", "Weight", "constant"]).transform(gym(spark, 200).withColumn("constant", F.lit(3.0)))
+    found = sums.sums_by_part(rows_, F.when(F.col("CompetitorID") % 2 == 0, "even").otherwise("odd"), label="NoOfReps")
+    whole = found["even"] + found["odd"]
+    intercept, coefficients = sums.elastic_net(whole, reg_param, mixed)
+    theirs = LinearRegression(labelCol="NoOfReps", regParam=reg_param, elasticNetParam=mixed, solver="normal", tol=1e-12, maxIter=1000).fit(rows_)
+    assert list(coefficients) == pytest.approx(list(theirs.coefficients), abs=1e-5)
+    assert intercept == pytest.approx(theirs.intercept, abs=1e-3)
+    assert whole.r2(intercept, coefficients) == pytest.approx(theirs.summary.r2, abs=1e-6)
+    assert whole.rmse(intercept, coefficients) == pytest.approx(theirs.summary.rootMeanSquaredError, abs=1e-6)
+
+
+def test_wide_features_are_fitted_point_by_point(spark):
+    frame = jobs.with_share_above(houses(spark))
+    narrow, wide = jobs.house_price_model(frame), jobs.house_price_model(frame, most_terms=3)
+    assert wide.grid.count() == narrow.grid.count() == 9
+    assert dict(rows(wide.metrics))["holdout_r2"] == pytest.approx(dict(rows(narrow.metrics))["holdout_r2"], abs=1e-3)
+
+
+def test_the_split_of_the_grid_does_not_follow_partitions(spark):
+    frame = jobs.with_share_above(houses(spark))
+    first = rows(jobs.house_price_model(frame).grid)
+    again = rows(jobs.house_price_model(frame.repartition(5).orderBy(F.desc("id"))).grid)
+    assert [r[:2] for r in first] == [r[:2] for r in again]
+    assert [r[2] for r in first] == pytest.approx([r[2] for r in again], rel=1e-9)
+
+
+def test_histograms_give_rates_and_area(spark):
+    source = random.Random(3)
+    data = [(int(source.random() < 0.4), round(source.random() * 64) / 64) for _ in range(500)]
+    scored = spark.createDataFrame(data, "label int, score double")
+    first, second = scored.randomSplit([0.5, 0.5], 1)
+    merged = sums.score_histogram(first, bins=64).unionByName(sums.score_histogram(second, bins=64))
+    rated = {r["threshold"]: r for r in sums.rates(merged, bins=64).collect()}
+    for threshold in (0.25, 0.5, 0.75):
+        said = [(label, score >= threshold) for label, score in data]
+        r = rated[threshold]
+        assert (r["tp"], r["fp"], r["tn"], r["fn"]) == tuple(said.count(x) for x in [(1, True), (0, True), (0, False), (1, False)])
+        assert r["recall"] == pytest.approx(r["tp"] / (r["tp"] + r["fn"]))
+    ones, zeros = ([s if s < 1 else 63 / 64 for label, s in data if label == x] for x in (1, 0))
+    wins = sum((a > b) + 0.5 * (a == b) for a in ones for b in zeros)
+    assert sums.area_under_curve(sums.rates(merged, bins=64)) == pytest.approx(wins / len(ones) / len(zeros))
+
+
 def test_share_of_no_living_area_is_null(spark):
     frame = spark.createDataFrame([(0, 0), (100, 50)], "sqft_living int, sqft_above int")
     assert rows(jobs.with_share_above(frame).select("sqft_above_percentage")) == [(0.5,), (None,)]
