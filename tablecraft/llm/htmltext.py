@@ -96,7 +96,6 @@ CLOSES = {  # an opening tag ends these, up to the nearest of the second set
 }
 _WORD = re.compile(r"[A-Za-z]+")
 _PART = re.compile(r"[A-Z]?[a-z]+")  # of camelCase names
-_SPACE = re.compile(r"\s+")
 _TOKEN = re.compile(r"\S+")
 
 
@@ -186,6 +185,10 @@ class PageReader(HTMLParser):
         self.paths: dict[tuple[int, str], int] = {}
         self.mains: list[tuple[_Node | None, _Node | None]] = []  # low elements and menus around articles
 
+    def updatepos(self, i: int, j: int) -> int:
+        """Lines and columns are of no use here."""
+        return j
+
     def _flush(self) -> None:
         if self.buffer:
             self.blocks.append((self.stack[-1].main, self.open["h1"] > 0, self.buffer))
@@ -203,7 +206,7 @@ class PageReader(HTMLParser):
             self.records.append((node.path, SEEN))
             if node.children:
                 self.records.append((node.path, _hash("style", *node.children) | 1))
-            if node.own and (text := _SPACE.sub(" ", "".join(node.own)).strip()):
+            if node.own and (text := " ".join("".join(node.own).split())):
                 self.records.append((node.path, _hash("text", text) | 1))
             if whole:
                 self.records.append((node.path, whole))
@@ -303,7 +306,7 @@ class PageReader(HTMLParser):
         if self.tree:
             if not top.free:
                 top.own.append(data)
-            if text := _SPACE.sub(" ", data).strip():
+            if text := " ".join(data.split()):
                 top.whole.append(text)
 
     def read(self, html: str) -> PageReader:
@@ -326,7 +329,7 @@ class PageReader(HTMLParser):
         texts = []
         for main, heading, pieces in self.blocks:
             said = "".join(data for low, inside, form, data in pieces if kept(low, inside) and (with_form or not form))
-            if text := _SPACE.sub(" ", said).strip():
+            if text := " ".join(said.split()):
                 texts.append((main, heading, text))
         if has_main:
             first = next((i for i, (main, _, _) in enumerate(texts) if main), len(texts))
