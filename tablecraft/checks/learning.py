@@ -247,19 +247,94 @@ def tuned_sizes(spark: SparkSession, sf_dir: str) -> models.Fitted:
     )
 
 
-@query()
+#: Elastic net by coordinate descent on matrices of sums, one coordinate of all points a step.
+TUNED_SQL = r"""
+    WITH RECURSIVE rows AS (
+        SELECT doc_id, lang, source, n_chars::DOUBLE AS y,
+            len(string_split(text, ' '))::DOUBLE AS n_words, len(string_split(text, chr(10)))::DOUBLE AS n_lines,
+            coalesce(length(regexp_replace(text, '[^a-zA-Z]', '', 'g')) / nullif(length(text), 0)::DOUBLE, 0) AS letter_share,
+            len(list_distinct(string_split(text, ' '))) / len(string_split(text, ' '))::DOUBLE AS word_variety,
+            CASE WHEN substr(md5('0|' || doc_id), 1, 8) >= 'cccccccd' THEN 'holdout'
+                 WHEN substr(md5('1|' || doc_id), 1, 8) < 'cccccccd' THEN 'fit' ELSE 'validate' END AS part
+        FROM documents),
+    langs AS (SELECT lang, row_number() OVER (ORDER BY count(*) DESC, lang) - 1 AS place FROM rows WHERE part <> 'holdout' GROUP BY lang),
+    sources AS (SELECT source, row_number() OVER (ORDER BY count(*) DESC, source) - 1 AS place FROM rows WHERE part <> 'holdout' GROUP BY source),
+    filled AS (
+        SELECT doc_id, part, y, [n_words, n_lines, letter_share, word_variety]
+            || list_transform(range((SELECT max(place) FROM langs)), lambda i: (i = l.place)::INTEGER::DOUBLE)
+            || list_transform(range((SELECT max(place) FROM sources)), lambda i: (i = s.place)::INTEGER::DOUBLE) AS x
+        FROM rows JOIN langs l USING (lang) JOIN sources s USING (source)),
+    halves AS (
+        SELECT part AS half, doc_id, y, x FROM filled
+        UNION ALL SELECT 'train', doc_id, y, x FROM filled WHERE part <> 'holdout'),
+    wide AS (SELECT half, doc_id, list_append(x, y) AS z FROM halves),
+    cells AS (SELECT half, doc_id, unnest(z) AS v, generate_subscripts(z, 1) AS i FROM wide),
+    moments AS (SELECT half, i, count(*)::DOUBLE AS n, avg(v) AS mean, var_pop(v) AS var FROM cells GROUP BY half, i),
+    joint AS (
+        SELECT a.half, a.i, b.i AS j, avg((a.v - ma.mean) * (b.v - mb.mean)) AS cov
+        FROM cells a JOIN cells b USING (half, doc_id)
+        JOIN moments ma ON ma.half = a.half AND ma.i = a.i JOIN moments mb ON mb.half = b.half AND mb.i = b.i
+        GROUP BY a.half, a.i, b.i),
+    scaled AS (
+        SELECT c.half, c.i, list(CASE WHEN a.var > 1e-20 AND b.var > 1e-20 THEN cov / sqrt(a.var * b.var) ELSE 0 END ORDER BY c.j) AS line
+        FROM joint c JOIN moments a ON a.half = c.half AND a.i = c.i JOIN moments b ON b.half = c.half AND b.i = c.j
+        GROUP BY c.half, c.i),
+    matrices AS (SELECT half, list(line ORDER BY i) AS c, count(*) - 1 AS d FROM scaled GROUP BY half),
+    points AS (
+        SELECT half, r AS reg_param, e AS elastic_net, c, d,
+            r / sqrt(var) * e AS lasso, r / sqrt(var) * (1 - e) AS ridge
+        FROM matrices JOIN moments USING (half), unnest([0.01, 0.1, 0.5]) t(r), unnest([0.0, 0.5, 1.0]) u(e)
+        WHERE half IN ('fit', 'train') AND i = d + 1),
+    steps AS (
+        SELECT half, reg_param, elastic_net, 0 AS step, list_transform(range(d), lambda i: 0::DOUBLE) AS b FROM points
+        UNION ALL
+        SELECT half, reg_param, elastic_net, step + 1, list_transform(b, lambda x, i: CASE WHEN i <> j OR c[j][j] = 0 THEN x
+            ELSE sign(rest) * greatest(abs(rest) - lasso, 0) / (c[j][j] + ridge) END)
+        FROM (
+            SELECT s.*, p.c, p.lasso, p.ridge, step % d + 1 AS j,
+                p.c[step % d + 1][d + 1] - list_dot_product(p.c[step % d + 1][1:d], s.b)
+                    + p.c[step % d + 1][step % d + 1] * s.b[step % d + 1] AS rest
+            FROM steps s JOIN points p USING (half, reg_param, elastic_net) WHERE step < d * {sweeps})),
+    scales AS (SELECT half, list(sqrt(var) ORDER BY i) AS sd, list(mean ORDER BY i) AS mean FROM moments GROUP BY half),
+    lines AS (
+        SELECT s.half, reg_param, elastic_net,
+            list_transform(b, lambda x, i: CASE WHEN sd[i] > 1e-10 THEN x * sd[d + 1] / sd[i] ELSE 0 END) AS w, mean, d
+        FROM steps s JOIN points p USING (half, reg_param, elastic_net) JOIN scales c ON c.half = s.half
+        WHERE step = d * {sweeps}),
+    models AS (SELECT *, mean[d + 1] - list_dot_product(w, mean[1:d]) AS intercept FROM lines),
+    grid AS (
+        SELECT reg_param, elastic_net, 1 - sum((y - intercept - list_dot_product(w, x)) ** 2) / (count(*) * var_pop(y)) AS r2
+        FROM models m JOIN filled f ON m.half = 'fit' AND f.part = 'validate' GROUP BY reg_param, elastic_net),
+    chosen AS (
+        SELECT m.* FROM models m JOIN (SELECT reg_param, elastic_net FROM grid ORDER BY r2 DESC LIMIT 1) USING (reg_param, elastic_net)
+        WHERE m.half = 'train'),
+    predicted AS (SELECT b.half, b.doc_id, b.y AS label, intercept + list_dot_product(w, x) AS prediction FROM halves b, chosen)
+""".replace("{sweeps}", "1500")
+
+
+@query(TUNED_SQL + """
+    SELECT unnest(['train_r2', 'train_rmse', 'holdout_r2', 'holdout_rmse', 'reg_param', 'elastic_net']) AS metric,
+        round(unnest([
+            (SELECT 1 - sum((label - prediction) ** 2) / (count(*) * var_pop(label)) FROM predicted WHERE half = 'train'),
+            (SELECT sqrt(avg((label - prediction) ** 2)) FROM predicted WHERE half = 'train'),
+            (SELECT 1 - sum((label - prediction) ** 2) / (count(*) * var_pop(label)) FROM predicted WHERE half = 'holdout'),
+            (SELECT sqrt(avg((label - prediction) ** 2)) FROM predicted WHERE half = 'holdout'),
+            reg_param::DOUBLE, elastic_net::DOUBLE]), 4) AS value
+    FROM chosen
+""")
 def linreg_tuned(spark, sf_dir):
-    return tuned_sizes(spark, sf_dir).metrics
+    return tuned_sizes(spark, sf_dir).metrics.withColumn("value", F.round("value", 4))
 
 
-@query()
+@query(TUNED_SQL + "SELECT doc_id, label, round(prediction, 2) AS prediction FROM predicted WHERE half = 'holdout'")
 def linreg_holdout(spark, sf_dir):
-    return tuned_sizes(spark, sf_dir).predictions.select("doc_id", "label", "prediction")
+    predictions = tuned_sizes(spark, sf_dir).predictions
+    return predictions.select("doc_id", "label", F.round("prediction", 2).alias("prediction"))
 
 
-@query()
+@query(TUNED_SQL + "SELECT reg_param::DOUBLE AS reg_param, elastic_net::DOUBLE AS elastic_net, round(r2, 6) AS validation_metric FROM grid")
 def grid_metrics(spark, sf_dir):
-    return tuned_sizes(spark, sf_dir).grid
+    return tuned_sizes(spark, sf_dir).grid.withColumn("validation_metric", F.round("validation_metric", 6))
 
 
 # ---- classification -------------------------------------------------------------------
