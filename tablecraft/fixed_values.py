@@ -99,3 +99,20 @@ ALS_ITERATIONS = 10
 ALS_REG_PARAM = 0.1
 RECOMMENDED_ITEMS = 5
 RATING_SCALE = 100
+
+# Columns of the model reports, by the names that their inputs have.
+GYM_COLUMNS = ("Age", "Height", "Weight", "Gender")
+GYM_CLUSTER_COLUMNS = ("Gender", "Age", "Height", "Weight", "NoOfReps")
+HOUSE_COLUMNS = (
+    "bedrooms", "bathrooms", "sqft_living", "sqft_above_percentage", "floors",
+    "condition", "grade", "zipcode", "waterfront",
+)
+HOUSE_CATEGORIES = ("condition", "grade", "zipcode")
+NOT_CORRELATED = (
+    "id", "date", "waterfront", "view", "condition", "grade", "yr_renovated", "zipcode", "lat", "long",
+    "sqft_lot", "sqft_lot15", "yr_built", "sqft_living15",
+)
+CHURN_CATEGORIES = ("payment_method_type", "country", "rebill_period_in_months")
+CHURN_COLUMNS = (*CHURN_CATEGORIES, "firstSub", "age", "all_time_views", "last_month_views")
+COUNTED_COLUMNS = ("firstSub", "all_time_views", "last_month_views")
+TRIAL_COLUMNS = ("rebill_period", "chapter_access_count", "seconds_watched")

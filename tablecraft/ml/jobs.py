@@ -20,19 +20,16 @@ from tablecraft.shared import settled
 
 # ---- repetitions: plain regression and clusters ---------------------------------------
 
-GYM_COLUMNS = ("Age", "Height", "Weight", "Gender")
-GYM_CLUSTER_COLUMNS = ("Gender", "Age", "Height", "Weight", "NoOfReps")
-
 
 def repetitions_regression(
-    df: DataFrame, label: str = "NoOfReps", columns: Sequence[str] = GYM_COLUMNS, categories: Sequence[str] = ("Gender",)
+    df: DataFrame, label: str = "NoOfReps", columns: Sequence[str] = fixed.GYM_COLUMNS, categories: Sequence[str] = ("Gender",)
 ) -> models.Fitted:
     return models.linear_regression(df, label, columns, categories)
 
 
 def competitor_clusters(
     df: DataFrame,
-    columns: Sequence[str] = GYM_CLUSTER_COLUMNS,
+    columns: Sequence[str] = fixed.GYM_CLUSTER_COLUMNS,
     categories: Sequence[str] = ("Gender",),
     counts: Sequence[int] = fixed.CLUSTER_COUNTS,
     seed: int = 0,
@@ -45,18 +42,8 @@ def competitor_clusters(
 
 # ---- house prices ---------------------------------------------------------------------
 
-HOUSE_COLUMNS = (
-    "bedrooms", "bathrooms", "sqft_living", "sqft_above_percentage", "floors",
-    "condition", "grade", "zipcode", "waterfront",
-)
-HOUSE_CATEGORIES = ("condition", "grade", "zipcode")
-NOT_CORRELATED = (
-    "id", "date", "waterfront", "view", "condition", "grade", "yr_renovated", "zipcode", "lat", "long",
-    "sqft_lot", "sqft_lot15", "yr_built", "sqft_living15",
-)
-
 
-def house_correlations(df: DataFrame, drop: Sequence[str] = NOT_CORRELATED) -> DataFrame:
+def house_correlations(df: DataFrame, drop: Sequence[str] = fixed.NOT_CORRELATED) -> DataFrame:
     return correlation_matrix(df, numeric_candidates(df, drop))
 
 
@@ -68,8 +55,8 @@ def with_share_above(df: DataFrame, above: str = "sqft_above", living: str = "sq
 def house_price_model(
     df: DataFrame,
     label: str = "price",
-    columns: Sequence[str] = HOUSE_COLUMNS,
-    categories: Sequence[str] = HOUSE_CATEGORIES,
+    columns: Sequence[str] = fixed.HOUSE_COLUMNS,
+    categories: Sequence[str] = fixed.HOUSE_CATEGORIES,
     keys: Sequence[str] = ("id",),
     share: float = 0.8,
     seed: int = 0,
@@ -83,25 +70,21 @@ def house_price_model(
 
 # ---- subscriptions --------------------------------------------------------------------
 
-CHURN_CATEGORIES = ("payment_method_type", "country", "rebill_period_in_months")
-CHURN_COLUMNS = (*CHURN_CATEGORIES, "firstSub", "age", "all_time_views", "last_month_views")
-COUNTED_COLUMNS = ("firstSub", "all_time_views", "last_month_views")
-
 
 def churn_rows(df: DataFrame) -> DataFrame:
     """Subscriptions not cancelled, nulls replaced, ``label`` 1 for no view next month.
 
     A null flag counts as cancelled and null views as none.
     """
-    active = substitute_nulls(df.filter("is_cancelled = false"), COUNTED_COLUMNS)
+    active = substitute_nulls(df.filter("is_cancelled = false"), fixed.COUNTED_COLUMNS)
     watched = flag_above("next_month_views", 0)
     return active.withColumn("next_month_views", 1 - watched).withColumnRenamed("next_month_views", "label")
 
 
 def churn_model(
     df: DataFrame,
-    columns: Sequence[str] = CHURN_COLUMNS,
-    categories: Sequence[str] = CHURN_CATEGORIES,
+    columns: Sequence[str] = fixed.CHURN_COLUMNS,
+    categories: Sequence[str] = fixed.CHURN_CATEGORIES,
     keys: Sequence[str] | None = None,
     share: float = 0.9,
     seed: int = 0,
@@ -117,8 +100,6 @@ def churn_model(
 
 # ---- free trials ----------------------------------------------------------------------
 
-TRIAL_COLUMNS = ("rebill_period", "chapter_access_count", "seconds_watched")
-
 
 def trial_rows(df: DataFrame, country: str = "country", payments: str = "payments_made") -> DataFrame:
     """Countries in groups, ``label`` 1 for at least one payment."""
@@ -139,7 +120,7 @@ class TrialParts:
 def trial_parts(
     rows: DataFrame,
     country: str = "country",
-    columns: Sequence[str] = TRIAL_COLUMNS,
+    columns: Sequence[str] = fixed.TRIAL_COLUMNS,
     keys: Sequence[str] | None = None,
     share: float = fixed.TRIAL_TRAIN_SHARE,
     seed: int = 0,

@@ -246,6 +246,12 @@ def classification_figures(predictions: DataFrame, label: str = "label") -> dict
     return {name: float("nan") if value is None else value for name, value in row.asDict().items()}
 
 
+def _totals(histogram: DataFrame) -> tuple[float, float, float]:
+    """Rows, rows of label 1, and the sum of all scores."""
+    row = histogram.agg(F.sum("n"), F.sum(F.when(F.col("label") == 1, F.col("n"))), F.sum("total")).first()
+    return tuple(float(x or 0) for x in row)
+
+
 def tuned_logistic_regression(
     training: DataFrame,
     holdout: DataFrame,
@@ -263,6 +269,8 @@ def tuned_logistic_regression(
 ) -> Fitted:
     """Binary classifier tuned by area under the curve, or by r2 of the 0/1 predictions.
 
+    Scores of both parts are counted by label and bin; ``holdout_area`` is the area under the curve
+    that follows. The intercept has no penalty, so ``train_mean_score`` is the share of label 1.
     For two labels ``likelihood_1 = tpr_1 / (tpr_1 + fpr_0)`` equals ``recall_1``; the
     share of predicted ones that are right is ``precision_1``.
     """
@@ -276,13 +284,19 @@ def tuned_logistic_regression(
         )
         trained = classification_figures(model.transform(train))
         tested = classification_figures(model.transform(test))
+        one = vector_to_array("probability")[1].alias("score")
+        parts = {name: sums.score_histogram(model.transform(x).select("label", one)) for name, x in (("train", train), ("holdout", test))}
+        totals = {name: _totals(histogram) for name, histogram in parts.items()}
+        area = sums.area_under_curve(sums.rates(parts["holdout"]))
         summary = model.evaluate(test)
         true_rates, false_rates = summary.truePositiveRateByLabel, summary.falsePositiveRateByLabel
     figures = {
         "train_accuracy": trained["accuracy"], "holdout_accuracy": tested["accuracy"],
-        "recall_1": tested["recall_1"], "precision_1": tested["precision_1"],
+        "recall_1": tested["recall_1"], "precision_1": tested["precision_1"], "holdout_area": area,
         "reg_param": model.getRegParam(), "elastic_net": model.getElasticNetParam(),
     }
+    for name, (n, ones, score) in totals.items():
+        figures |= {f"{name}_n": n, f"{name}_ones": ones, f"{name}_mean_score": score / n if n else float("nan")}
     if len(true_rates) > 1 and true_rates[1] + false_rates[0] > 0:
         figures["likelihood_1"] = true_rates[1] / (true_rates[1] + false_rates[0])
     spark = training.sparkSession
@@ -341,6 +355,7 @@ class Clusters:
     sizes: DataFrame
     centres: DataFrame
     models: dict[int, Any] = field(repr=False)
+    sums: DataFrame | None = field(default=None, repr=False)
 
 
 def cluster_sweep(
@@ -348,22 +363,30 @@ def cluster_sweep(
 ) -> Clusters:
     """K-means for every number of clusters: squared error, silhouette, sizes, centres.
 
-    The feature column is kept for the whole sweep, since every fit reads it many times.
+    The feature column is kept for the whole sweep, since every fit reads it many times. ``sums`` has
+    n, total and squares of the rows of every cluster and coordinate, of all numbers of clusters at
+    one reading; centres and squared errors of what was assigned follow from it.
     """
     spark = df.sparkSession
     figures, sizes, centres, models = [], [], [], {}
     with kept(df.select("features")) as (features,):
         for k in counts:
-            model = KMeans(k=k, seed=seed, maxIter=iterations).fit(features)
+            model = KMeans(k=k, seed=seed, maxIter=iterations, predictionCol=f"k{k}").fit(features)
             summary = model.summary
-            silhouette = ClusteringEvaluator().evaluate(model.transform(features))
+            silhouette = ClusteringEvaluator(predictionCol=f"k{k}").evaluate(model.transform(features))
             figures.append((k, float(summary.trainingCost), float(silhouette)))
             sizes += [(k, cluster, size) for cluster, size in enumerate(summary.clusterSizes)]
             centres += [(k, i, [float(x) for x in centre]) for i, centre in enumerate(model.clusterCenters())]
             models[k] = model
+    assigned = df.select("features")
+    for k in counts:
+        assigned = models[k].transform(assigned)
+    summed = sums.cluster_sums(assigned, [f"k{k}" for k in counts])
+    summed = summed.select(F.substring("model", 2, 9).cast("int").alias("k"), "cluster", "place", "n", "total", "squares")
     return Clusters(
         figures=spark.createDataFrame(figures, "k int, sse double, silhouette double"),
         sizes=spark.createDataFrame(sizes, "k int, cluster int, size bigint"),
         centres=spark.createDataFrame(centres, "k int, cluster int, centre array<double>"),
         models=models,
+        sums=summed,
     )
