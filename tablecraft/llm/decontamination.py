@@ -26,6 +26,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tablecraft.llm.columns import beside_others
 from tablecraft.shared import settled
 
 WIDTH = 5
@@ -205,9 +206,13 @@ def op5_decontamination(docs: DataFrame, items: DataFrame) -> DataFrame:
 
 
 def decontamination_stage(docs: DataFrame, items: DataFrame) -> DataFrame:
-    """The documents that hold no benchmark item."""
+    """The documents that hold no benchmark item, with their columns, whatever these are called."""
+    return beside_others(docs, ("doc_id", "text"), lambda rows: _without_items(rows, items))
+
+
+def _without_items(docs: DataFrame, items: DataFrame) -> DataFrame:
     found = settled(matches(docs, items).select(F.col("doc_id").alias("_id"), F.col("body").alias("_body")).distinct(), "found")
     body = F.xxhash64(F.coalesce("text", F.lit("")))
     rows = docs.withColumn("_own", body)
     hit = rows["doc_id"].eqNullSafe(found["_id"]) & (rows["_own"] == found["_body"])
-    return rows.join(found, hit, "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
+    return rows.join(found, hit, "left_anti").drop("_own")

@@ -25,6 +25,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tablecraft.llm.columns import beside_others
 from tablecraft.shared import settled
 
 WORD = r"[^\x20\x09-\x0D]+"
@@ -160,8 +161,13 @@ def mixing_stage(docs: DataFrame, **options) -> DataFrame:
     """The rows of ``docs``, each as often as the mix takes it (at most ``max_copies`` times).
 
     Rows that repeat whole are alike, so they share the copies of all of them in any order:
-    their copies are added up and dealt to the distinct row.
+    their copies are added up and dealt to the distinct row. Other columns stay as they are,
+    whatever they are called.
     """
+    return beside_others(docs, ("doc_id", "text", "source"), lambda rows: _mixed(rows, **options))
+
+
+def _mixed(docs: DataFrame, **options) -> DataFrame:
     columns = docs.columns
     body = F.md5(F.coalesce("text", F.lit("")))
     rows = docs.withColumn("_body", body)
@@ -175,10 +181,19 @@ def mixing_stage(docs: DataFrame, **options) -> DataFrame:
     on = rows["doc_id"].eqNullSafe(copies["_key"]) & rows["source"].eqNullSafe(copies["_source"]) & (rows["_body"] == copies["_own"])
     joined = rows.join(copies, on)
     # Of n equal rows with c copies in all, each gives c // n and the first c % n one more.
-    turn = Window.partitionBy("_key", "_source", "_own").orderBy(F.lit(0))
+    # They are numbered within written partitions first, so that no task holds all of them.
     single = joined.where("_rows = 1").withColumn("_n", F.col("_copies"))
-    several = joined.where("_rows > 1").withColumn(
-        "_n", F.floor(F.col("_copies") / F.col("_rows")) + (F.row_number().over(turn) <= F.col("_copies") % F.col("_rows")).cast("long")
-    )
+    several = settled(joined.where("_rows > 1").withColumn("_part", F.spark_partition_id()), "several")
+    alike = ["_key", "_source", "_own"]
+    sizes = several.groupBy(*alike, "_part").agg(F.count(F.lit(1)).alias("_size"))
+    before = (F.sum("_size").over(Window.partitionBy(*alike).orderBy("_part")) - F.col("_size")).alias("_before")
+    offsets = sizes.select(*[F.col(c).alias(f"{c}_o") for c in (*alike, "_part")], before)
+    same = several["_part"] == offsets["_part_o"]
+    for c in alike:
+        same = same & several[c].eqNullSafe(offsets[f"{c}_o"])
+    turn = F.row_number().over(Window.partitionBy(*alike, "_part").orderBy(F.lit(0))) + F.col("_before")
+    several = several.join(offsets, same).withColumn("_turn", turn).withColumn(
+        "_n", F.floor(F.col("_copies") / F.col("_rows")) + (F.col("_turn") <= F.col("_copies") % F.col("_rows")).cast("long")
+    ).select(*single.columns)
     each = single.unionByName(several).where("_n > 0")
     return each.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_n")))).select(*[F.col(f"`{c}`") for c in columns])

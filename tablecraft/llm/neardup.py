@@ -30,6 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tablecraft.llm.columns import beside_others
 from tablecraft.llm.components import components
 from tablecraft.llm.textblocks import Block, blocks, mix
 from tablecraft.shared import settled
@@ -273,12 +274,16 @@ def near_duplicate_stage(docs: DataFrame) -> DataFrame:
     """One document of each near-duplicate group: the one of least id (then text hash).
 
     Documents without words are in no group and stay. Rows that repeat whole ids and texts
-    are one document.
+    are one document. Other columns stay as they are, whatever they are called.
     """
+    return beside_others(docs, ("doc_id", "text"), _one_of_each)
+
+
+def _one_of_each(docs: DataFrame) -> DataFrame:
     groups = jaccard_groups(docs)
     whole = F.coalesce("text", F.lit(""))
     own = docs.withColumn("_body", F.xxhash64(whole)).withColumn(
         "_id", F.coalesce(F.col("doc_id").cast("long"), F.lit(-1) - F.abs(F.col("_body") % F.lit(1 << 61)))
     )
     keepers = settled(groups.select(F.col("group_id").alias("_id"), F.col("first_body").alias("_body")).distinct(), "keepers")
-    return own.join(keepers, ["_id", "_body"], "left_semi").dropDuplicates(["_id", "_body"]).select(*[F.col(f"`{c}`") for c in docs.columns])
+    return own.join(keepers, ["_id", "_body"], "left_semi").dropDuplicates(["_id", "_body"]).drop("_id", "_body")

@@ -22,6 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tablecraft.llm.columns import beside_others
 from tablecraft.llm.textblocks import Block, blocks, mix, repeated
 
 BITS = 17
@@ -236,6 +237,7 @@ def op8_quality(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def quality_stage(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """The documents that the rules and the classifier keep, with their columns."""
-    kept = score(docs, train(docs, labels), keep=docs.columns)
-    return kept.where("kept").select(*[F.col(f"`{c}`") for c in docs.columns])
+    """The documents that the rules and the classifier keep, with their columns, whatever these
+    are called."""
+    model = train(docs, labels)
+    return beside_others(docs, ("doc_id", "text"), lambda rows: score(rows, model, keep=rows.columns).where("kept"))
