@@ -7,6 +7,8 @@ state would grow forever.
 
 from __future__ import annotations
 
+from math import gcd
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import TimestampNTZType
@@ -17,16 +19,31 @@ from tablecraft import fixed_values as fixed
 def event_time(records: DataFrame, time: str = "timestamp", lateness: str | None = None) -> DataFrame:
     """Make ``time`` usable as event time; ``lateness`` adds a watermark to a stream.
 
-    Watermarks need a timestamp with time zone, so a time without one is read in the
-    session's zone.
+    Watermarks need a timestamp with time zone. A time without one is read at the fixed offset
+    of UTC, whatever the session's zone, so that no hour is missing or doubled where clocks change.
     """
     if lateness is None or not records.isStreaming:
         return records
-    if isinstance(records.schema[time].dataType, TimestampNTZType):
-        records = records.withColumn(time, F.col(time).cast("timestamp"))
+    if _without_zone(records, time):
+        records = records.withColumn(time, F.concat(F.col(time).cast("string"), F.lit("Z")).cast("timestamp"))
     return records.withWatermark(time, lateness)
 
 
+def _without_zone(records: DataFrame, time: str) -> bool:
+    return isinstance(records.schema[time].dataType, TimestampNTZType)
+
+
+def _as_given(counted: DataFrame, records: DataFrame, time: str) -> DataFrame:
+    """Windows of times without a zone have none either, in a stream as in a batch."""
+    if not (records.isStreaming and _without_zone(records, time)):
+        return counted
+
+    def plain(side: str):
+        return F.expr(f"timestampadd(MICROSECOND, unix_micros(window.{side}), TIMESTAMP_NTZ'1970-01-01 00:00:00')").alias(side)
+
+    return counted.withColumn("window", F.struct(plain("start"), plain("end")))
+
+
 def tumbling_views(
     records: DataFrame,
     time: str = "timestamp",
@@ -38,7 +55,7 @@ def tumbling_views(
     """Seconds watched per window and course; a record without a course adds nothing."""
     timed = event_time(records, time, lateness)
     counted = timed.groupBy(F.window(time, width), name).agg(F.count(name).alias("_n"))
-    return counted.select("window", name, (F.col("_n") * seconds).alias("seconds_watched"))
+    return _as_given(counted.select("window", name, (F.col("_n") * seconds).alias("seconds_watched")), records, time)
 
 
 def tumbling_views_sql(
@@ -51,7 +68,7 @@ def tumbling_views_sql(
 ) -> DataFrame:
     """The same through SQL; records without a course count too."""
     timed = event_time(records, time, lateness)
-    return records.sparkSession.sql(
+    counted = records.sparkSession.sql(
         f"""
         SELECT window, `{name}`, sum({seconds}) AS seconds_watched
         FROM {{records}}
@@ -59,13 +76,15 @@ def tumbling_views_sql(
         """,
         records=timed,
     )
+    return _as_given(counted, records, time)
 
 
-def _seconds_of(interval: str) -> float:
+def _micros_of(interval: str) -> int:
     """Length of a plain interval such as "10 minutes"."""
-    units = {"second": 1, "minute": 60, "hour": 3600, "day": 86400, "week": 604800}
+    units = {"microsecond": 1, "millisecond": 1000, "second": 10**6, "minute": 60 * 10**6, "hour": 3600 * 10**6}
+    units |= {"day": 24 * units["hour"], "week": 7 * 24 * units["hour"]}
     number, unit = interval.split()
-    return float(number) * units[unit.lower().removesuffix("s")]
+    return round(float(number) * units[unit.lower().removesuffix("s")])
 
 
 def sliding_views(
@@ -79,16 +98,15 @@ def sliding_views(
 ) -> DataFrame:
     """Seconds watched per course in windows of ``width`` that start every ``slide``.
 
-    Each record is counted once in its slide-long piece; only the counted pieces are
-    spread over the ``width / slide`` windows that contain them. ``width`` must be a
-    multiple of ``slide``; another width raises ``ValueError``.
+    Each record is counted once in its pane, whose length is the greatest common divisor of
+    ``width`` and ``slide``; windows start and end where panes do, so only the counted panes
+    are spread over the windows that contain them.
     """
-    if _seconds_of(width) % _seconds_of(slide):
-        raise ValueError(f"width {width!r} is not a multiple of slide {slide!r}")
+    pane = f"{gcd(_micros_of(width), _micros_of(slide))} microseconds"
     timed = event_time(records, time, lateness)
-    pieces = timed.groupBy(F.window(time, slide).alias("piece"), name).agg(F.count(F.lit(1)).alias("_n"))
+    pieces = timed.groupBy(F.window(time, pane).alias("piece"), name).agg(F.count(F.lit(1)).alias("_n"))
     spread = pieces.groupBy(F.window("piece", width, slide), name).agg(F.sum("_n").alias("_n"))
-    return spread.select("window", name, (F.col("_n") * seconds).alias("seconds_watched"))
+    return _as_given(spread.select("window", name, (F.col("_n") * seconds).alias("seconds_watched")), records, time)
 
 
 def flat_window(frame: DataFrame) -> DataFrame:

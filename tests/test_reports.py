@@ -12,6 +12,7 @@ from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from tablecraft import operators as ops
+from tablecraft.operators import pages as pages_module
 from tablecraft.plans import exam_report, log_report
 from tablecraft.plans import words as word_report
 
@@ -80,6 +81,22 @@ def test_pages_end_to_end_are_the_sorted_group(spark, page_size):
         assert [v for p in mine for v in p["values"]] == sorted(v for k, v in data if k == key)
 
 
+@pytest.mark.parametrize("kind", ["timestamp", "timestamp_ntz", "date", "double", "string"])
+def test_one_hot_bucket_is_divided(spark, kind):
+    """One level and one day, times of parts of seconds; no part orders more than its share."""
+    source = random.Random(1)
+    moments = [source.randrange(10**9) for _ in range(20_000)]
+    cast = {"timestamp": "timestamp_micros(m)", "timestamp_ntz": "timestamp_micros(m)::timestamp_ntz", "date": "date_from_unix_date(m::int % 9000)", "double": "m / 7.0", "string": "lpad(m::string, 12, '0')"}[kind]
+    frame = spark.createDataFrame([(m,) for m in moments], "m long").selectExpr("'only' AS k", f"{cast} AS v")
+    pages = ops.collect_pages(frame, ["k"], "v", F.lit(1), 700).orderBy("page").collect()
+    assert [v for p in pages for v in p["values"]] == sorted(r["v"] for r in frame.select("v").collect())
+    assert [len(p["values"]) for p in pages] == [700] * 28 + [400]
+    runs = frame.groupBy("k", F.lit(1).alias("_bucket"), "v").agg(F.count(F.lit(1)).alias("_n"))
+    parts = [r["count"] for r in pages_module._divided(runs, ["k"], "v").groupBy("_part").count().collect()]
+    if kind != "string":
+        assert len(parts) == 64 and max(parts) <= 2 * sum(parts) / 64
+
+
 def test_pages_count_the_table_once(spark, sf_dir):
     orders = spark.read.parquet(f"{sf_dir}/orders.parquet")
     pages = ops.collect_pages(orders, ["o_orderstatus"], "o_orderdate", F.to_date("o_orderdate"))

@@ -86,6 +86,37 @@ def test_complete_stream_equals_batch(spark, tmp_path):
         assert flat(spark.table("complete_views")) == flat(windows(spark.createDataFrame(RECORDS, SCHEMA)))
 
 
+@pytest.mark.parametrize(("width", "slide"), [("10 minutes", "3 minutes"), ("7 seconds", "2 seconds"), ("1 hour", "25 minutes"), ("90 seconds", "1 minute")])
+def test_any_width_and_slide_equal_the_plain_window(spark, width, slide):
+    frame = spark.range(400).selectExpr("timestamp_micros(1704067200000000 + id * 7654321) AS timestamp", "concat('c', id % 3) AS course_name")
+    plain = frame.groupBy(F.window("timestamp", width, slide), "course_name").agg((F.count(F.lit(1)) * 5).alias("seconds_watched"))
+    assert flat(live.sliding_views(frame, width=width, slide=slide)) == flat(plain)
+
+
+def test_times_without_zone_keep_their_hours_where_clocks_change(spark, tmp_path, set_conf):
+    """A stream gives the windows of its batch twin on the days on which clocks change."""
+    set_conf(spark__sql__session__timeZone="America/New_York")
+    schema = "timestamp timestamp_ntz, course_name string"
+    days = [dt.datetime(2024, 3, 10), dt.datetime(2024, 11, 3)]
+    records = [(day + dt.timedelta(minutes=10 * i), "a") for day in days for i in range(30)]
+    table = pa.table({"timestamp": pa.array([r[0] for r in records], pa.timestamp("us")), "course_name": [r[1] for r in records]})
+    (tmp_path / "in").mkdir()
+    pq.write_table(table, tmp_path / "in" / "part.parquet")
+    batch = spark.createDataFrame(records, schema)
+    source = file_stream(spark, str(tmp_path / "in"), schema, max_files_per_trigger=1)
+    sliding = lambda f: live.sliding_views(f, width="10 minutes", slide="3 minutes")
+    for place, (windows, mode) in enumerate(((live.tumbling_views, "complete"), (live.tumbling_views_sql, "complete"), (sliding, "append"))):
+        query = live.start_stream(windows(source), "memory", mode, available_now=True, throwaway=True, name=f"unzoned{place}")
+        query.awaitTermination()
+        found, expected = spark.table(f"unzoned{place}"), windows(batch)
+        assert found.schema["window"].dataType.simpleString() == expected.schema["window"].dataType.simpleString()
+        if mode == "complete":
+            assert flat(found) == flat(expected) and len(flat(found)) == 60
+        else:  # only closed windows leave a chain of two aggregates
+            closed = [r for r in flat(expected) if r[0] < dt.datetime(2024, 11, 3, 4, 30)]
+            assert [r for r in flat(found) if r[0] < dt.datetime(2024, 11, 3, 4, 30)] == closed and len(closed) > 150
+
+
 def late_input(folder):
     put(folder, 0, [(at(0), "a"), (at(30), "a")])  # watermark becomes minute 20
     put(folder, 1, [(at(25), "a")])  # in time; from the next batch on rows before minute 20 are late
