@@ -577,7 +577,7 @@ def recommend_new_items(spark, sf_dir):
 
 
 HISTORY_SQL = f"""
-    SELECT user_id, item_id, round(rating::DOUBLE, 2) AS rating FROM ({RATINGS_SQL})
+    SELECT user_id::BIGINT AS user_id, item_id, round(rating::DOUBLE, 2) AS rating FROM ({RATINGS_SQL})
 """
 
 

@@ -9,6 +9,7 @@ from pyspark.sql.types import IntegerType, StructField, StructType
 from tablecraft import fixed_values as fixed
 from tablecraft import streaming as live
 from tablecraft.checks.registry import query, table
+from tablecraft.shared import new_folder
 from tablecraft.sources import file_stream, register_view
 from tablecraft.streaming import flat_window
 
@@ -103,6 +104,23 @@ def stream_ranked_batches(spark, sf_dir):
     return flat_window(live.run_to_table(windows, "append", ranked, schema)).drop("batch_id")
 
 
+@query(f"""
+    SELECT * FROM (
+        SELECT *, row_number() OVER (
+            PARTITION BY window_start ORDER BY seconds_watched DESC, course_name)::INTEGER AS rank
+        FROM ({SLIDING_SQL}) WHERE {CLOSED_SQL})
+    WHERE rank <= 2
+""")
+def ranked_last_hour(spark, sf_dir):
+    """The started report of the last hour, as messages of a broker feed it."""
+    records = event_records(event_stream(spark, sf_dir))
+    messages = records.select("timestamp", F.col("course_name").cast("binary").alias("value"))
+    folder = new_folder(spark, "last-hour")
+    live.ranked_report(messages, folder, n=2, interval=None, available_now=True).awaitTermination()
+    schema = StructType([*live.sliding_report(messages).schema.fields, StructField("rank", IntegerType())])
+    return flat_window(live.read_batches(spark, folder, schema)).drop("batch_id")
+
+
 # ---- raw records: event number as offset, user as course key --------------------------
 
 KEY_COUNT = 50  # keys 43 to 49 have no name

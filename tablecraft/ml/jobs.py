@@ -14,7 +14,9 @@ from tablecraft.ml import models
 from tablecraft.ml.features import (
     assembler, feature_stages, index_labels, index_name, labels_in_use, stable_split, substitute_nulls,
 )
-from tablecraft.ml.recommend import beside_history, fit_recommender, new_items, top_items, watch_ratings
+from tablecraft.ml.recommend import (
+    beside_history, fit_recommender, new_items, numbered_views, top_items, watch_ratings,
+)
 from tablecraft.operators import correlation_matrix, numeric_candidates
 from tablecraft.shared import settled
 
@@ -160,14 +162,19 @@ def course_recommendations(
 ) -> DataFrame:
     """Recommended items of every user beside the watched ones.
 
+    Ids that are no ints (bigint, string) are numbered for the model and given back.
     ``first_users`` limits the report to that many users with the lowest ids. The ratings
     are written once, for the fit and for the history.
     """
-    ratings = settled(watch_ratings(views, user, item, share))
+    plain = all(views.schema[name].dataType.simpleString() in ("tinyint", "smallint", "int") for name in (user, item))
+    numbered = None if plain else numbered_views(views, user, item, share)
+    rated = watch_ratings(views, user, item, share) if plain else watch_ratings(numbered.views)
+    ratings = settled(rated)
     model = fit_recommender(ratings, seed=seed, **fitting)
     users = None if first_users is None else settled(_lowest(ratings, first_users))
     recommended = settled(new_items(model, ratings, n, users) if exclude_seen else top_items(model, n, users))
-    return beside_history(recommended, ratings)
+    report = beside_history(recommended, ratings)
+    return report if plain else numbered.restored(report)
 
 
 def _lowest(ratings: DataFrame, n: int) -> DataFrame:

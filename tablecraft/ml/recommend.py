@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.ml.recommendation import ALS, ALSModel
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tablecraft import fixed_values as fixed
 from tablecraft.ml.retrieval import best_items
 from tablecraft.operators import top_rows_per
+from tablecraft.shared import settled
 
 
 def watch_ratings(
@@ -16,7 +19,8 @@ def watch_ratings(
 ) -> DataFrame:
     """One rating per user and item: the sum of the watched shares times ``scale``.
 
-    Ids must fit an int; a larger one fails instead of being cut.
+    Ids must fit an int; a larger one fails instead of being cut. ``dense_ids`` numbers ids of any
+    other type.
     """
     return (
         views.groupBy(F.col(user).cast("int").alias("user_id"), F.col(item).cast("int").alias("item_id"))
@@ -24,6 +28,50 @@ def watch_ratings(
     )
 
 
+def dense_ids(rows: DataFrame, column: str) -> DataFrame:
+    """id, number: the different non-null ids of a column, in order, numbered from 0.
+
+    Ids are laid over range partitions and numbered inside each; only the sizes of the partitions are
+    added up in one place. Numbers are ints: 2 ** 31 different ids, which models hold, fail beyond.
+    """
+    ids = rows.where(F.col(column).isNotNull()).select(F.col(column).alias("id")).distinct()
+    laid = settled(ids.repartitionByRange("id").withColumn("_part", F.spark_partition_id()), "ids")
+    sizes = laid.groupBy("_part").agg(F.count(F.lit(1)).alias("_size"))
+    before = sizes.select("_part", (F.sum("_size").over(Window.orderBy("_part")) - F.col("_size")).alias("_before"))
+    place = F.row_number().over(Window.partitionBy("_part").orderBy("id")) - 1
+    numbered = laid.withColumn("_place", place).join(before, "_part")
+    return settled(numbered.select("id", (F.col("_before") + F.col("_place")).cast("int").alias("number")), "dense-ids")
+
+
+@dataclass
+class NumberedViews:
+    """Views with int ids, and the ids behind the numbers."""
+
+    views: DataFrame
+    users: DataFrame
+    items: DataFrame
+
+    def restored(self, report: DataFrame) -> DataFrame:
+        """``report`` with the ids that its user_id and item_id stand for."""
+        columns = report.columns
+        for name, table in (("user_id", self.users), ("item_id", self.items)):
+            named = table.select(F.col("number").alias(name), F.col("id").alias("_id"))
+            report = report.join(named, name).drop(name).withColumnRenamed("_id", name)
+        return report.select(*columns)
+
+
+def numbered_views(views: DataFrame, user: str, item: str, share: str) -> NumberedViews:
+    """Views whose ids, of any type that has an order, are replaced by dense numbers.
+
+    Views of a null user or item are left out, since they can't be recommended to or by.
+    """
+    users, items = dense_ids(views, user), dense_ids(views, item)
+    numbered = views.select(F.col(user).alias("_user"), F.col(item).alias("_item"), F.col(share).alias("share"))
+    for name, table in (("user", users), ("item", items)):
+        numbered = numbered.join(table.select(F.col("id").alias(f"_{name}"), F.col("number").alias(f"{name}_id")), f"_{name}")
+    return NumberedViews(numbered.select("user_id", "item_id", "share"), users, items)
+
+
 def fit_recommender(
     ratings: DataFrame,
     iterations: int = fixed.ALS_ITERATIONS,

@@ -342,6 +342,28 @@ def test_new_items_against_brute_force(spark):
     assert rows(rec.new_items(model, ratings)) == sorted(expected, key=repr)
 
 
+@pytest.mark.parametrize("kind", ["bigint", "string"])
+def test_ids_of_any_type(spark, kind):
+    """Large and textual ids give the recommendations of the same views with small numbers."""
+    views = watched(spark)
+    name = {"bigint": "2e12::bigint + {} * 3", "string": "concat('id-', lpad({}::string, 6, '0'))"}[kind]
+    other = views.selectExpr(f"{name.format('userId')} AS userId", f"{name.format('courseId')} AS courseId", "proportionWatched")
+    other = other.unionByName(other.limit(1).selectExpr(f"cast(null AS {kind}) AS userId", "courseId", "proportionWatched"))
+    plain = rows(jobs.course_recommendations(views, seed=1))
+    found = jobs.course_recommendations(other, seed=1)
+    assert found.schema["user_id"].dataType.simpleString() == found.schema["item_id"].dataType.simpleString() == kind
+    back = {"bigint": lambda x: (x - 2 * 10**12) // 3, "string": lambda x: int(x[3:])}[kind]
+    given = sorted(((back(r[0]), r[1], r[2], back(r[3]), *r[4:]) for r in found.collect()), key=repr)
+    key = lambda r: (r[0], r[1], r[2] or 0, r[3], r[6])
+    assert sorted(map(key, given)) == sorted(map(key, plain))
+
+
+def test_dense_ids(spark):
+    frame = spark.range(5000).selectExpr("concat('u', id % 1234) AS u").union(spark.createDataFrame([(None,)], "u string"))
+    numbers = {r["id"]: r["number"] for r in rec.dense_ids(frame, "u").collect()}
+    assert [numbers[u] for u in sorted(numbers)] == list(range(1234))
+
+
 @pytest.mark.parametrize("k", [1, 5, 60])
 def test_best_items_equal_full_scoring(spark, k):
     """Blocks of 8 items and 16 users; ties, zero vectors, users that ask for more than there is."""
