@@ -113,6 +113,29 @@ def label_table(df: DataFrame, column: str) -> DataFrame:
     return numbered.select("label", (F.col("_before") + F.col("_place")).cast("double").alias("index"))
 
 
+def table_indexed(
+    df: DataFrame, columns: Sequence[str], on_unseen: str = "error", tables: Mapping[str, DataFrame] | None = None
+) -> tuple[dict[str, DataFrame], DataFrame]:
+    """The index columns of ``index_labels`` by joins with label tables, which no driver holds.
+
+    ``tables`` are those of earlier rows, by default made from ``df``. A label that they do not
+    have, or a null, is an error, or its row is skipped.
+    """
+    if on_unseen not in ("error", "skip"):
+        raise ValueError(f"label tables take 'error' or 'skip', not {on_unseen!r}")
+    tables = dict(tables) if tables else {column: settled(label_table(df, column), "labels") for column in columns}
+    indexed = df
+    for column in columns:
+        index = index_name(column)
+        table = tables[column].select(F.col("label").alias("_label"), F.col("index").alias(index))
+        how = "inner" if on_unseen == "skip" else "left"
+        indexed = indexed.join(table, F.col(column).cast("string") == F.col("_label"), how).drop("_label")
+        if on_unseen == "error":
+            message = F.concat(F.lit(f"Unseen label in {column}: "), F.coalesce(F.col(column).cast("string"), F.lit("null")))
+            indexed = indexed.withColumn(index, F.coalesce(index, F.raise_error(message).cast("double")))
+    return tables, indexed
+
+
 def stable_split(
     df: DataFrame, share: float, keys: Sequence[str], seed: int = 0
 ) -> tuple[DataFrame, DataFrame]:

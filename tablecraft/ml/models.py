@@ -26,7 +26,9 @@ from pyspark.sql import functions as F
 
 from tablecraft import fixed_values as fixed
 from tablecraft.ml import sums
-from tablecraft.ml.features import feature_stages, feature_terms, fill_or_keep, in_first_part
+from tablecraft.ml.features import (
+    feature_stages, feature_terms, fill_or_keep, in_first_part, table_indexed, vector_name,
+)
 from tablecraft.shared import settled
 
 METRICS = "metric string, value double"
@@ -80,24 +82,58 @@ def linear_regression(
     categories: Sequence[str] = (),
     on_unseen: str = "error",
     nulls: str = "error",
+    label_tables: bool = False,
 ) -> Fitted:
-    """Plain least squares on all rows, with predictions for the same rows."""
+    """Plain least squares on all rows, with predictions for the same rows.
+
+    With ``label_tables`` the labels of the categories stay in tables, joined to the rows and to the
+    coefficients; the driver holds a number for each slot, but no label and no name of a slot.
+    """
     rows, nulls = fill_or_keep(df, columns, nulls)
-    features = Pipeline(stages=feature_stages(categories, columns, on_unseen, nulls)).fit(rows)
+    if label_tables:
+        tables, rows = table_indexed(rows, categories, on_unseen)
+        stages = feature_stages(categories, columns, "error", nulls)[1:]
+    else:
+        tables, stages = None, feature_stages(categories, columns, on_unseen, nulls)
+    features = Pipeline(stages=stages).fit(rows)
     prepared = features.transform(rows).withColumnRenamed(label, "label")
     with kept(prepared.select("label", "features")) as (train,):
         model = LinearRegression().fit(train)
         figures = {"train_r2": model.summary.r2, "train_rmse": model.summary.rootMeanSquaredError}
     spark = df.sparkSession
+    if tables is None:
+        coefficients = coefficient_frame(spark, feature_terms(prepared), model)
+    else:
+        coefficients = _joined_coefficients(spark, columns, tables, model)
     return Fitted(
         model=model,
         predictions=model.transform(prepared),
         metrics=metric_frame(spark, figures),
-        coefficients=coefficient_frame(spark, feature_terms(prepared), model),
+        coefficients=coefficients,
         stages=features,
     )
 
 
+def _joined_coefficients(spark: SparkSession, columns: Sequence[str], tables: dict[str, DataFrame], model) -> DataFrame:
+    """term, coefficient; terms of categories are made by joins with their label tables."""
+    values, at = model.coefficients.toArray(), 0
+    plain, parts = [("intercept", float(model.intercept))], []
+    for column in columns:
+        if column not in tables:
+            plain.append((column, float(values[at])))
+            at += 1
+            continue
+        n = tables[column].count() - 1  # the last label is all zeros
+        slots = spark.createDataFrame([(float(i), float(x)) for i, x in enumerate(values[at : at + n])], "index double, coefficient double")
+        term = F.concat(F.lit(f"{vector_name(column)}_"), "label").alias("term")
+        parts.append(slots.join(tables[column], "index").select(term, "coefficient"))
+        at += n
+    found = spark.createDataFrame(plain, "term string, coefficient double")
+    for part in parts:
+        found = found.unionByName(part)
+    return found
+
+
 def _tune(
     training: DataFrame,
     estimator: LinearRegression | LogisticRegression,

@@ -108,6 +108,31 @@ def test_plain_regression_is_least_squares(spark):
     assert predictions == pytest.approx(list(design @ expected), abs=1e-6)
 
 
+def test_label_tables_give_the_regression_of_the_indexer(spark):
+    frame = gym(spark, 60).withColumn("town", F.concat(F.lit("t"), F.col("CompetitorID") % 7))
+    settings = "NoOfReps", ["Age", "Gender", "Weight", "town"], ["Gender", "town"]
+    plain, joined = models.linear_regression(frame, *settings), models.linear_regression(frame, *settings, label_tables=True)
+    expected = {r[0]: r[1] for r in plain.coefficients.collect()}
+    found = {r[0]: r[1] for r in joined.coefficients.collect()}
+    assert found == pytest.approx(expected, abs=1e-6)
+    assert dict(rows(joined.metrics)) == pytest.approx(dict(rows(plain.metrics)))
+    tables, _ = ft.table_indexed(frame, ["town"])
+    other = frame.limit(2).withColumn("town", F.lit("nowhere"))
+    with pytest.raises(PySparkException, match="Unseen label in town"):
+        ft.table_indexed(other, ["town"], tables=tables)[1].collect()
+    assert ft.table_indexed(other, ["town"], "skip", tables)[1].count() == 0
+    with pytest.raises(ValueError):
+        ft.table_indexed(other, ["town"], "keep")
+
+
+def test_regression_with_very_many_labels(spark):
+    """More slots than the driver's solver takes: labels only in tables."""
+    frame = spark.range(30_000).selectExpr("concat('label-', id % 10000) AS c", "id % 13 AS x", "(id % 10000) % 50 + 2.0 * (id % 13) AS y")
+    fitted = models.linear_regression(frame, "y", ["x", "c"], ["c"], label_tables=True)
+    assert dict(rows(fitted.metrics))["train_r2"] > 0.999
+    assert fitted.coefficients.count() == 1 + 1 + 9_999
+
+
 def houses(spark, n=300):
     source = np.random.default_rng(5)
     data = []
