@@ -186,8 +186,14 @@ def rates(histogram: DataFrame, label: str = "label", bins: int = BINS) -> DataF
 
 
 def area_under_curve(rated: DataFrame) -> float:
-    """Area under recall against false rate, by trapezoids between the edges of bins."""
-    points = [(0.0, 0.0), *((r["false_rate"], r["recall"]) for r in rated.select("false_rate", "recall", "threshold").orderBy(F.desc("threshold")).collect())]
+    """Area under recall against false rate, by trapezoids between the edges of bins.
+
+    Not a number if a label does not occur.
+    """
+    found = rated.select("false_rate", "recall", "threshold").orderBy(F.desc("threshold")).collect()
+    points = [(0.0, 0.0), *((row["false_rate"], row["recall"]) for row in found)]
+    if not found or None in points[-1]:
+        return float("nan")
     return sum((x1 - x0) * (y1 + y0) / 2 for (x0, y0), (x1, y1) in zip(points, points[1:]))
 
 
