@@ -2,13 +2,16 @@
 
 Items are sorted by falling norm and cut into blocks. A user's product with any item of a block
 is at most |user| times the block's largest norm (Cauchy-Schwarz). The first block, scored for
-every user, gives a kth score; only blocks whose bound reaches it can hold better items, and
-since norms fall these are the first so many blocks. Users with like bounds are put into
-blocks together, and a block of users meets just the item blocks that one of its users needs.
+every user, gives its best items and a kth score; only blocks whose bound reaches that score can
+hold better items, and since norms fall these are the first so many blocks. Users with like bounds
+are put into blocks together, and a block of users meets just the item blocks that one of its users
+needs.
 
 Scoring is a matrix product of two blocks inside a task. Users and items meet by equal block
-numbers, so no plan holds a cross join. Numbers of blocks by class of norm, at most 64 rows, tell
-how many blocks a user needs; they are all that is broadcast beside the first block of items.
+numbers, so no plan holds a cross join. A task reads the rows of a batch in place, one after the
+other, so it holds no more than Spark's batch and one slice of scores. Numbers of blocks by class of
+norm, at most 64 rows, tell how many blocks a user needs; they and the first block of items are all
+that every task gets.
 """
 
 from __future__ import annotations
@@ -23,6 +26,8 @@ from pyspark.sql import functions as F
 from tablecraft.shared import settled
 
 ITEM_BLOCK, USER_BLOCK = 4096, 4096
+#: Users scored at once.
+SLICE = 256
 #: Classes of norm: steps of the square root of 2, from the largest norm down.
 CLASSES = 64
 
@@ -92,6 +97,49 @@ def _best(scores: np.ndarray, ids: np.ndarray, k: np.ndarray) -> tuple[np.ndarra
     return row, order[row, column]
 
 
+def _scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Best items of each user of a row, row by row: numbers are read where the batch holds them."""
+
+    def numbers(batch: pa.RecordBatch, column: str, i: int, kind: str) -> np.ndarray:
+        return np.frombuffer(batch.column(column)[i].as_buffer(), kind)
+
+    for batch in batches:
+        for i in range(len(batch)):
+            own = numbers(batch, "vectors", i, "<f8").reshape(-1, batch.column("rank")[i].as_py())
+            ids, users = numbers(batch, "ids", i, "<i8"), numbers(batch, "u_ids", i, "<i8")
+            k, least = numbers(batch, "u_k", i, "<i4"), numbers(batch, "u_least", i, "<f8")
+            vectors = numbers(batch, "u_vectors", i, "<f8").reshape(len(users), -1)
+            asking = np.flatnonzero(least <= batch.column("norm")[i].as_py())
+            for j in range(0, len(asking), SLICE):
+                some = asking[j : j + SLICE]
+                scores = vectors[some] @ own.T
+                user, place = _best(scores, ids, k[some])
+                yield pa.RecordBatch.from_pydict(
+                    {"user": users[some][user], "item": ids[place], "score": scores[user, place], "k": k[some][user]}
+                )
+
+
+def _of_later_blocks(spread: DataFrame, blocks: DataFrame, user_block: int) -> DataFrame:
+    """user, item, score, k: the best of each block after the first, for users that need it."""
+
+    def grouped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Rows of up to ``user_block`` users that need as many blocks as any of them."""
+        for batch in batches:
+            for i in range(0, len(batch), user_block):
+                part = batch.slice(i, user_block)
+                row = {"ids": part.column("id").to_numpy().astype("<i8").tobytes(), "vectors": _vectors(part.column("v")).astype("<f8").tobytes()}
+                row |= {"k": part.column("k").to_numpy().astype("<i4").tobytes(), "least": part.column("least").to_numpy().astype("<f8").tobytes()}
+                yield pa.RecordBatch.from_pylist([row | {"blocks": max(part.column("_blocks").to_pylist())}])
+
+    columns = "ids binary, vectors binary, k binary, least binary, blocks long"
+    teams = spread.select("id", "v", "k", "least", "_blocks").mapInArrow(grouped, columns).select(
+        *[F.col(c).alias(f"u_{c}") for c in ("ids", "vectors", "k", "least")],
+        F.explode(F.sequence(F.lit(1).cast("long"), F.col("blocks") - 1)).alias("block"),
+    )
+    met = teams.join(blocks, "block").select("ids", "vectors", "rank", "norm", "u_ids", "u_vectors", "u_k", "u_least")
+    return met.mapInArrow(_scored, _FOUND)
+
+
 def best_items(
     users: DataFrame, items: DataFrame, item_block: int = ITEM_BLOCK, user_block: int = USER_BLOCK
 ) -> DataFrame:
@@ -100,33 +148,41 @@ def best_items(
     ``users`` has id (long), v (vector of doubles) and k (int), ``items`` id and v.
     """
     blocks = item_blocks(items, item_block)
-    largest = blocks.agg(F.max("norm")).first()[0]
-    if largest is None:
+    # One row of at most ``item_block`` items: tasks get it with the function, not beside each user.
+    first = blocks.where("block = 0").first()
+    if first is None:
         return users.sparkSession.createDataFrame([], "user long, item long, score double, rank int")
-    largest = largest or 1.0
-
-    first = F.broadcast(blocks.where("block = 0").select("ids", "vectors", "rank", F.lit(0).alias("_first")))
+    largest = first["norm"] or 1.0
+    packed, rank = (bytes(first["ids"]), bytes(first["vectors"])), first["rank"]
 
     def floored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Users with the least norm of an item that can still be among their first k."""
+        """Users with their best items of the first block, and the least norm of an item that can
+        still be among their first k."""
+        ids, own = np.frombuffer(packed[0], "<i8"), np.frombuffer(packed[1], "<f8").reshape(-1, rank)
         for batch in batches:
-            for i in range(0, len(batch), 1024):
-                part = batch.slice(i, 1024)
+            for i in range(0, len(batch), SLICE):
+                part = batch.slice(i, SLICE)
                 vectors = _vectors(part.column("v"))
-                own = np.frombuffer(part.column("vectors")[0].as_py(), "<f8").reshape(-1, part.column("rank")[0].as_py())
                 k = part.column("k").to_numpy().astype(np.int64)
-                scores = np.sort(vectors @ own.T, axis=1)[:, ::-1]
-                kth = np.where(k <= scores.shape[1], scores[np.arange(len(k)), np.clip(k, 1, scores.shape[1]) - 1], -np.inf)
+                scores = vectors @ own.T
+                user, place = _best(scores, ids, k)
+                best = scores[user, place]
+                ends = np.cumsum(np.bincount(user, minlength=len(k)))
+                kth = np.where((k <= len(ids)) & (k > 0), best[np.maximum(ends, 1) - 1] if len(best) else 0.0, -np.inf)
                 norm = np.sqrt((vectors**2).sum(1))
                 with np.errstate(divide="ignore", invalid="ignore"):
                     least = np.where(norm > 0, kth / norm, 0.0)
                 # room for the rounding of products and norms
                 least = np.maximum(0.0, least - 1e-9 * largest)
-                yield pa.RecordBatch.from_pydict({"id": part.column("id"), "v": part.column("v"), "k": part.column("k"), "least": least})
+                offsets = pa.array(np.concatenate([[0], ends]), pa.int32())
+                yield pa.RecordBatch.from_pydict({
+                    "id": part.column("id"), "v": part.column("v"), "k": part.column("k"), "least": least,
+                    "items": pa.ListArray.from_arrays(offsets, ids[place]), "scores": pa.ListArray.from_arrays(offsets, best),
+                })
 
     narrow = users.select(F.col("id").cast("long").alias("id"), F.col("v").cast("array<double>").alias("v"), F.col("k").cast("int").alias("k"))
-    with_first = narrow.withColumn("_first", F.lit(0)).join(first, "_first")
-    bounded = with_first.select("id", "v", "k", "ids", "vectors", "rank").mapInArrow(floored, "id long, v array<double>, k int, least double")
+    begun = "id long, v array<double>, k int, least double, items array<long>, scores array<double>"
+    bounded = narrow.mapInArrow(floored, begun)
 
     # How many blocks have a norm of a class or a larger one: at most CLASSES rows.
     classes = blocks.groupBy(_class_of(F.col("norm"), largest).alias("_class")).agg(F.count(F.lit(1)).alias("n"))
@@ -138,38 +194,10 @@ def best_items(
         "bounded-users",
     )
 
-    def grouped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Rows of up to ``user_block`` users that need as many blocks as any of them."""
-        for batch in batches:
-            for i in range(0, len(batch), user_block):
-                part = batch.slice(i, user_block)
-                row = {"ids": part.column("id").to_numpy().astype("<i8").tobytes(), "vectors": _vectors(part.column("v")).astype("<f8").tobytes()}
-                row |= {"k": part.column("k").to_numpy().astype("<i4").tobytes(), "least": part.column("least").to_numpy().astype("<f8").tobytes()}
-                yield pa.RecordBatch.from_pylist([row | {"blocks": max(part.column("_blocks").to_pylist())}])
-
-    columns = "ids binary, vectors binary, k binary, least binary, blocks long"
-    teams = spread.mapInArrow(grouped, columns).select(
-        *[F.col(c).alias(f"u_{c}") for c in ("ids", "vectors", "k", "least")],
-        F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("block"),
-    )
-
-    def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for row in batch.to_pylist():
-                own = np.frombuffer(row["vectors"], "<f8").reshape(-1, row["rank"])
-                ids, users = np.frombuffer(row["ids"], "<i8"), np.frombuffer(row["u_ids"], "<i8")
-                k, least = np.frombuffer(row["u_k"], "<i4"), np.frombuffer(row["u_least"], "<f8")
-                vectors = np.frombuffer(row["u_vectors"], "<f8").reshape(len(users), -1)
-                asking = np.flatnonzero(least <= row["norm"])
-                for i in range(0, len(asking), 256):
-                    some = asking[i : i + 256]
-                    scores = vectors[some] @ own.T
-                    user, place = _best(scores, ids, k[some])
-                    yield pa.RecordBatch.from_pydict(
-                        {"user": users[some][user], "item": ids[place], "score": scores[user, place], "k": k[some][user]}
-                    )
-
-    met = teams.join(blocks, "block").select("ids", "vectors", "rank", "norm", "u_ids", "u_vectors", "u_k", "u_least")
+    pairs = spread.select(F.col("id").alias("user"), "k", F.explode(F.arrays_zip("items", "scores")).alias("_pair"))
+    scores = pairs.select("user", F.col("_pair.items").alias("item"), F.col("_pair.scores").alias("score"), "k")
+    if up_to[-1] > 1:
+        scores = scores.unionByName(_of_later_blocks(spread.where("_blocks > 1"), blocks, user_block))
     order = Window.partitionBy("user").orderBy(F.desc("score"), F.asc("item"))
-    ranked = met.mapInArrow(scored, _FOUND).withColumn("rank", F.row_number().over(order)).where("rank <= k")
+    ranked = scores.withColumn("rank", F.row_number().over(order)).where("rank <= k")
     return ranked.select("user", "item", "score", "rank")

@@ -1,8 +1,10 @@
 from __future__ import annotations
 
 import random
+import tracemalloc
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from conftest import plan_of, rows
 from pyspark.errors import PySparkException
@@ -423,6 +425,31 @@ def test_blocks_out_of_reach_are_not_scored(spark):
     assert retrieval.best_items(frames[0], frames[1].limit(0)).count() == 0
 
 
+def test_users_of_one_block_of_items_are_scored_once(spark):
+    """No block of items is joined to each user, and no user goes through Python again."""
+    users = spark.range(3000).selectExpr("id", "array(cast(id % 7 AS double), 1D) AS v", "3 AS k")
+    items = spark.range(25).selectExpr("id", "array(1D, cast(id % 5 AS double)) AS v")
+    found = retrieval.best_items(users, items)
+    assert not any(word in plan_of(found) for word in ("Join", "MapInArrow"))
+    assert {r["item"] for r in found.collect()} == {4, 9, 14} and found.count() == 9000
+
+
+def test_rows_of_blocks_are_read_in_place():
+    """40 rows of 400 kB are scored in less memory than four of them take."""
+    items, users = np.arange(64, dtype="<i8"), np.arange(4096, dtype="<i8")
+    own = {"ids": items.tobytes(), "vectors": np.ones((64, 10)).tobytes(), "rank": 10, "norm": 4.0, "u_ids": users.tobytes()}
+    own |= {"u_vectors": np.ones((4096, 10)).tobytes(), "u_k": np.ones(4096, "<i4").tobytes(), "u_least": np.full(4096, 5.0).tobytes()}
+    rows = [own | {"u_least": np.where(users == i, 3.0, 5.0).tobytes()} for i in range(40)]
+    batch = pa.RecordBatch.from_pylist(rows)
+    del rows
+    tracemalloc.start()
+    found = [(b.column("user")[0].as_py(), b.column("item")[0].as_py()) for b in retrieval._scored(iter([batch]))]
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert found == [(i, 0) for i in range(40)]
+    assert most < batch.nbytes / 10
+
+
 def test_recommendations_beside_history(spark):
     report = jobs.course_recommendations(watched(spark), first_users=3, seed=1)
     seen = {(r[0], r[1]): r[2] for r in ratings_of(spark).collect()}
