@@ -62,6 +62,65 @@ def test_many_tiles(spark, monkeypatch):
     assert mined(spark, rows, tile_rows=20) == expected(rows)
 
 
+def test_small_pieces_and_shelves(spark, monkeypatch):
+    """Tiles in pieces of a few rows, on shelves of a few tiles, give the same rows."""
+    rows = random_rows()
+    for name, value in (("PIECE", 30), ("SHELF_BYTES", 600), ("PART_BYTES", 500), ("TILE_BYTES", 2000)):
+        monkeypatch.setattr(hn, name, value)
+    monkeypatch.setattr(hn, "ROUTED", 2)
+    assert mined(spark, rows) == expected(rows)
+
+
+def sent_to_python(frame):
+    """Bytes that the nodes of a plan sent to Python, after it ran."""
+
+    def nodes(plan):
+        name = plan.getClass().getSimpleName()
+        below = [plan.finalPhysicalPlan()] if name == "AdaptiveSparkPlanExec" else [plan.plan()] if name.endswith("QueryStageExec") else [plan.children().apply(i) for i in range(plan.children().size())]
+        return [plan, *(x for p in below for x in nodes(p))]
+
+    metrics = [x.metrics().get("pythonDataSent") for x in nodes(frame._jdf.queryExecution().executedPlan())]
+    return sum(m.get().value() for m in metrics if m.isDefined())
+
+
+def test_boxes_of_tiles_do_not_travel_with_each_anchor(spark):
+    """What tasks read is 3 times the rows; with all boxes beside each window of an anchor it was 32 times."""
+    rng = np.random.default_rng(5)
+    rows = [(i * 5, v.tolist(), i % 3, "", 0) for i, v in enumerate(rng.normal(0.2, 1, (800, 32)).astype(np.float32))]
+    frame = hn.op13_hard_negatives(spark.createDataFrame(rows, SCHEMA).repartition(3), tile_rows=20)
+    assert sorted(tuple(r) for r in frame.collect()) == expected(rows)
+    assert 0 < sent_to_python(frame) < 5 * 800 * 8 * 32
+
+
+@pytest.mark.parametrize("same", [True, False])
+def test_windows_of_an_anchor_are_searched_at_once(monkeypatch, same):
+    """Several windows of each anchor, over several trees, against all rows; with ties of scores and ids."""
+    rng = np.random.default_rng(6)
+    monkeypatch.setattr(hn, "HITS", 50)
+    vectors, labels, ids = np.floor(rng.normal(size=(900, 3)) * 4), rng.integers(0, 3, 900), rng.integers(0, 600, 900)
+    at = np.arange(0, 900, 30)
+    n = rng.integers(1, 4, len(at))
+    low = rng.integers(-30, 10, n.sum())
+    high = low + rng.integers(0, 40, n.sum())
+    search = hn.Search.of_anchors(ids[at], labels[at], vectors[at], same, n, low, high, 4)
+    for i in range(0, 900, 300):
+        part = slice(i, i + 300)
+        search.run(hn.Tree(ids[part], labels[part], hn._narrow(vectors[part]), leaf=20))
+    for ask, anchor in enumerate(np.repeat(at, n)):
+        score = (vectors @ vectors[anchor]).astype(int)
+        fits = ((labels == labels[anchor]) == same) & (ids != ids[anchor]) & (low[ask] <= score) & (score <= high[ask])
+        best = sorted(zip((-score[fits]).tolist(), ids[fits].tolist()))[:4]
+        assert search.found[ask] == [(-s, i) for s, i in best]
+
+
+def test_numbers_travel_exactly():
+    for numbers in ([0, -32767, 32767], [-32768, 5], [1 << 31, -1], [-(1 << 63), (1 << 63) - 1], []):
+        numbers = np.array(numbers, np.int64)
+        assert hn._unpressed(hn._pressed(numbers)).tolist() == numbers.tolist()
+    vectors = [[1.0, -2.0], [2.0**100], [], [70000.0, 1.0, 3.0]]
+    assert hn._decoded([hn._coded(np.array(v)) for v in vectors]).tolist() == [[1, -2, 0], [2.0**100, 0, 0], [0, 0, 0], [70000, 1, 3]]
+
+
 def test_one_label_and_one_vector(spark):
     rows = [(i, [0.5, 0.5], 1, "", 0) for i in range(300)]
     assert mined(spark, rows) == expected(rows)
